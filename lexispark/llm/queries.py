@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, lm, token_counts
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,8 +18,17 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2("ids_le", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+def op1_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = token_counts.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    return token_counts.token_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"), vocabulary)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_byte_bpe": op2_byte_bpe}
+    return {f.__name__: f for f in (op1_lm, op2_byte_bpe, op7_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
