@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lm, token_counts
+from . import bpe, licenses, lm, token_counts, toxicity
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,13 +22,23 @@ def op1_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.toxicity(docs, model).select("doc_id", "severity", "grade", "toxic")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = token_counts.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
     return token_counts.token_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"), vocabulary)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lm, op2_byte_bpe, op7_token_counts)}
+    return {f.__name__: f for f in (op1_lm, op2_byte_bpe, op3_licenses, op6_toxicity, op7_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
