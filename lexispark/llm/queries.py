@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, lm, token_counts, toxicity
+from . import bpe, contamination, licenses, lm, token_counts, toxicity
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op5_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), contamination.items_sha256().alias("items_sha256"), "contaminated", F.size("near").cast("bigint").alias("n_near"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -38,7 +43,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lm, op2_byte_bpe, op3_licenses, op6_toxicity, op7_token_counts)}
+    return {f.__name__: f for f in (op1_lm, op2_byte_bpe, op3_licenses, op5_contamination, op6_toxicity, op7_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
