@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, contamination, licenses, lm, token_counts, toxicity
+from . import bpe, contamination, licenses, lm, pii, token_counts, toxicity
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,8 +42,14 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"), vocabulary)
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(spark.read.parquet(f"{sf_dir}/documents.parquet"), pii.train())
+    counts = [pii.count_of(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS[:4]]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.concat("base", "added")).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lm, op2_byte_bpe, op3_licenses, op5_contamination, op6_toxicity, op7_token_counts)}
+    return {f.__name__: f for f in (op1_lm, op2_byte_bpe, op3_licenses, op5_contamination, op6_toxicity, op7_token_counts, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
