@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, contamination, licenses, lm, pii, token_counts, toxicity
+from . import bpe, contamination, licenses, lm, pii, token_counts, topk, toxicity
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
 def op5_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), contamination.items_sha256().alias("items_sha256"), "contaminated", F.size("near").cast("bigint").alias("n_near"))
@@ -49,7 +53,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lm, op2_byte_bpe, op3_licenses, op5_contamination, op6_toxicity, op7_token_counts, op10_pii)}
+    return {f.__name__: f for f in (op1_lm, op2_byte_bpe, op3_licenses, op4_topk, op5_contamination, op6_toxicity, op7_token_counts, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
