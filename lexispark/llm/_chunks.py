@@ -1,34 +1,36 @@
 """Dictionary-coded chunks of documents.
 
-A table of documents becomes chunks of about CHUNK_BYTES of text. Each chunk is one row with the word codes of all
-its documents, position by position, and one row for each distinct word. Only distinct words are shuffled to
-the global step (counting, encoding); what it finds comes back by chunk and code, and the documents are put together
-again by position. A chunk's size does not depend on the corpus, so no task gathers more than a chunk, and a word of
-a third of all positions has one row for each chunk that it is in.
+A table of documents becomes chunks of about CHUNK_BYTES of text. A chunk is its distinct words, dealt to buckets by
+their hash (one row a bucket), and its documents as word codes, position by position (rows of about PIECE positions).
+Only distinct words are shuffled to the global step (counting, encoding), bucket by bucket; what it finds comes back by
+chunk and code, and the documents are put together again by position. Neither a chunk nor a row grows with the corpus,
+and a word of a third of all positions has one entry for each chunk that it is in.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: UTF-8 bytes of text in a chunk; a longer document is a chunk of its own.
-CHUNK_BYTES = 12 << 20
-#: The code of the row that holds a chunk's documents; it sorts behind every word's.
-DOCS = 1 << 30
+#: UTF-8 bytes of text in a chunk (a longer document is a chunk of its own); positions in a row of documents.
+CHUNK_BYTES, PIECE = 32 << 20, 50_000
 #: A text of more bytes than this is cut into words piece by piece.
 LONG = 1 << 22
+#: Buckets for distinct words: as many as shuffle partitions, within these bounds.
+FEWEST, MOST = 64, 4096
 
-SCHEMA = "chunk bigint, code int, word binary, n bigint, ids array<bigint>, lens array<bigint>"
-ARROW = pa.schema([("chunk", pa.int64()), ("code", pa.int32()), ("word", pa.binary()), ("n", pa.int64()), ("ids", pa.list_(pa.int64())), ("lens", pa.list_(pa.int64()))])
+WORDS, DOCUMENTS = 0, 1
+ROWS = pa.schema([("key", pa.int32()), ("chunk", pa.int64()), ("kind", pa.int32()), ("blob", pa.binary()), ("n", pa.int64()), ("ids", pa.list_(pa.int64())), ("lens", pa.list_(pa.int64()))])
+DDL = "key int, chunk bigint, kind int, blob binary, n bigint, ids array<bigint>, lens array<bigint>"
 
 
 class Codes(dict):
@@ -40,13 +42,24 @@ class Codes(dict):
 
 
 def pack(codes: np.ndarray) -> bytes:
-    """uint32 numbers, byte plane by byte plane, compressed."""
-    return zstandard.compress(np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+    """Codes below 2 ** 28, compressed: seven bits a byte, low ones first; the high bit says that more follow."""
+    v = codes.astype(np.uint32)
+    size = np.digitize(v, [1 << 7, 1 << 14, 1 << 21]) + 1
+    out = np.empty((len(v), 4), np.uint8)
+    for k in range(4):
+        out[:, k] = ((v >> np.uint32(7 * k)) & 127) | ((size > k + 1) << 7)
+    return zstandard.compress(out[np.arange(4)[None, :] < size[:, None]].tobytes(), 3)
 
 
 def unpack(blob: bytes) -> np.ndarray:
     raw = np.frombuffer(zstandard.decompress(blob), np.uint8)
-    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel()
+    ends = np.flatnonzero(raw < 128)
+    starts = np.append(0, ends[:-1] + 1) if len(ends) else ends
+    size, out = ends - starts + 1, np.zeros(len(ends), np.uint32)
+    for k in range(4):
+        more = size > k
+        out[more] |= (raw[starts[more] + k] & np.uint32(127)).astype(np.uint32) << np.uint32(7 * k)
+    return out
 
 
 def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
@@ -55,87 +68,124 @@ def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + lens, lens) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def binary_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a binary column without nulls, and the length of each value."""
-    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-    values = column.buffers()[2]
-    data = np.frombuffer(values, np.uint8) if values is not None else np.zeros(0, np.uint8)
-    return data[offsets[0] : offsets[-1]], np.diff(offsets).astype(np.int64)
+def planes(numbers: np.ndarray) -> bytes:
+    """uint32 numbers, byte plane by byte plane."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
-def _chunks(batches: Iterable[pa.RecordBatch], words_of: Callable, piece: Callable | None, counted: Callable, last: bytes | None) -> Iterator[pa.RecordBatch]:
-    part, seq = TaskContext.get().partitionId(), 0
-    codes, ids, parts, lens, size, tally = Codes(), [], [], [], 0, np.zeros(0, np.int64)
+def unplanes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def pack_entries(codes: np.ndarray, columns: list[np.ndarray], data: bytes) -> bytes:
+    """Ascending codes, columns of whole numbers below 2 ** 32 beside them, and bytes."""
+    return zstandard.compress(len(codes).to_bytes(4, "little") + planes(np.diff(codes, prepend=0)) + b"".join(map(planes, columns)) + data, 3)
+
+
+def unpack_entries(blob: bytes, columns: int) -> tuple[np.ndarray, list[np.ndarray], bytes]:
+    raw = zstandard.decompress(blob)
+    n = 4 * int.from_bytes(raw[:4], "little")
+    cut = [raw[4 + k * n : 4 + (k + 1) * n] for k in range(columns + 1)]
+    return np.cumsum(unplanes(cut[0]).astype(np.int64)), [unplanes(c).astype(np.int64) for c in cut[1:]], raw[4 + (columns + 1) * n :]
+
+
+def words_in(lens: np.ndarray, data: bytes) -> list[bytes]:
+    ends = np.cumsum(lens)
+    return [data[a:b] for a, b in zip((ends - lens).tolist(), ends.tolist(), strict=True)]
+
+
+def _cut(batches: Iterable[pa.RecordBatch], words_of: Callable, piece: Callable, counted: Callable | None, last: bytes | None, buckets: int, kinds: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
+    codes, docs, parts, size = Codes(), [], [], 0
+
+    def row(key: int, chunk: int, kind: int, blob: bytes, n: int, ids: list | None, lens: list | None) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([x], t) for x, t in zip((key, chunk, kind, blob, n, ids, lens), ROWS.types, strict=True)], schema=ROWS)
 
     def flush() -> Iterator[pa.RecordBatch]:
-        nonlocal seq, codes, ids, parts, lens, size, tally
-        if not ids:
-            return
-        chunk, n = (part << 32) | seq, len(codes)
-        tally = np.pad(tally, (0, n - len(tally)))
         words = [w.encode() if isinstance(w, str) else w for w in codes]
-        for at in range(0, n, 50_000):
-            k = min(50_000, n - at)
-            yield pa.record_batch([pa.array(np.full(k, chunk)), pa.array(np.arange(at, at + k, dtype=np.int32)), pa.array(words[at : at + k], pa.binary()), pa.array(tally[at : at + k]), pa.nulls(k, ARROW.field("ids").type), pa.nulls(k, ARROW.field("lens").type)], schema=ARROW)
-        blob = pack(np.concatenate(parts) if parts else np.zeros(0, np.uint32))
-        yield pa.record_batch([pa.array([chunk]), pa.array([DOCS], pa.int32()), pa.array([blob], pa.binary()), pa.array([0]), pa.array([ids], ARROW.field("ids").type), pa.array([lens], ARROW.field("lens").type)], schema=ARROW)
-        seq, codes, ids, parts, lens, size, tally = seq + 1, Codes(), [], [], [], 0, np.zeros(0, np.int64)
+        name = hashlib.blake2b(b"\n".join([*words, repr(docs).encode()]), digest_size=8)
+        for x in parts:
+            name.update(x.data)
+        chunk = int.from_bytes(name.digest(), "little", signed=True)  # equal contents, equal names
+        columns = [np.array([len(w) for w in words], np.int64)]
+        if counted:
+            mine = [x for d, x in zip(docs, parts, strict=True) if counted(d)]
+            columns.append(np.bincount(np.concatenate(mine) if mine else np.zeros(0, np.int64), minlength=len(words)))
+        at = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % buckets
+        order = np.argsort(at, kind="stable")
+        edges = np.searchsorted(at[order], np.arange(buckets + 1))
+        for k in range(buckets) if WORDS in kinds else ():
+            if len(own := order[edges[k] : edges[k + 1]]):
+                yield row(k, chunk, WORDS, pack_entries(own, [c[own] for c in columns], b"".join([words[i] for i in own.tolist()])), len(own), None, None)
+        begin, held = 0, 0
+        for k, x in enumerate(parts if DOCUMENTS in kinds else ()):
+            held += len(x)
+            if held >= PIECE or k + 1 == len(parts):
+                some = parts[begin : k + 1]
+                key = buckets + zlib.crc32(f"{chunk} {begin}".encode()) % (1 << 20)
+                yield row(key, chunk, DOCUMENTS, pack(np.concatenate(some)), len(words), docs[begin : k + 1], [len(y) for y in some])
+                begin, held = k + 1, 0
 
     for batch in batches:
         for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             raw = raw.as_py() or b""
             if size and size + len(raw) > CHUNK_BYTES:
                 yield from flush()
-            code = codes.__getitem__
-            if len(raw) <= LONG or piece is None:
+                codes, docs, parts, size = Codes(), [], [], 0
+            if len(raw) <= LONG:
                 words = words_of(raw)
-                got = np.fromiter(map(code, words), np.uint32, len(words))
+                got = np.fromiter(map(codes.__getitem__, words), np.uint32, len(words))
             else:
-                it, got = piece(raw), []
+                it, some = piece(raw), [np.zeros(0, np.uint32)]
                 while block := list(islice(it, 1 << 19)):
-                    got.append(np.fromiter(map(code, block), np.uint32, len(block)))
-                got = np.concatenate(got) if got else np.zeros(0, np.uint32)
-            if last is not None:
-                got = np.append(got, np.uint32(code(last)))
-            if counted(doc):
-                tally = np.pad(tally, (0, max(0, len(codes) - len(tally))))
-                if len(got) > len(codes) // 8:
-                    tally += np.bincount(got, minlength=len(tally))
-                else:
-                    np.add.at(tally, got, 1)
-            ids.append(doc)
-            parts.append(got)
-            lens.append(len(got))
+                    some.append(np.fromiter(map(codes.__getitem__, block), np.uint32, len(block)))
+                got = np.concatenate(some)
+            parts.append(got if last is None else np.append(got, np.uint32(codes[last])))
+            docs.append(doc)
             size += len(raw) + 64
-    yield from flush()
+    if docs:
+        yield from flush()
+
 
+def bucket_count(spark: SparkSession) -> int:
+    return min(MOST, max(FEWEST, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
-def coded(docs: DataFrame, words_of: Callable, piece: Callable | None = None, counted: Callable = bool, last: bytes | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Chunk rows of docs. words_of(bytes) -> list of words; piece(bytes) -> an iterator over the same words, for
-    long texts; n counts a word in the documents for whose id counted holds; last is a word put behind each text."""
+
+def cut(docs: DataFrame, words_of: Callable, piece: Callable, id_col: str, text_col: str, counted: Callable | None = None, last: bytes | None = None, kinds: tuple[int, ...] = (WORDS, DOCUMENTS)) -> DataFrame:
+    """Chunk rows of docs, of both kinds or one. words_of(bytes) -> list of words; piece(bytes) -> an iterator over the same words, for long
+    texts; counted(doc_id) -> whether a document's words are counted (a second column of the word rows); last is a
+    word put behind each text."""
     two = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    return two.mapInArrow(functools.partial(_chunks, words_of=words_of, piece=piece, counted=counted, last=last), SCHEMA)
+    return two.mapInArrow(functools.partial(_cut, words_of=words_of, piece=piece, counted=counted, last=last, buckets=bucket_count(docs.sparkSession), kinds=kinds), DDL)
+
+
+def replaced(batch: pa.RecordBatch, k: int, blob: bytes) -> pa.RecordBatch:
+    """Row k of a batch of chunk rows, with another blob."""
+    return pa.record_batch([pa.array([blob], pa.binary()) if n == 3 else batch.column(n).slice(k, 1) for n in range(len(ROWS))], schema=ROWS)
 
 
-def rejoin(table: DataFrame, values: DataFrame, columns: list[str]) -> DataFrame:
-    """Chunk rows with the columns of values (word, columns...) in place of each word, chunks whole, words first."""
-    words = table.where(F.col("code") < DOCS).select("chunk", "code", "word").join(values, "word").select("chunk", "code", *columns)
-    docs = table.where(F.col("code") == DOCS).select("chunk", "code", F.col("word").alias("blob"), "ids", "lens")
-    return words.unionByName(docs, allowMissingColumns=True).repartition("chunk").sortWithinPartitions("chunk", "code")
+def by_chunk(rows: DataFrame) -> DataFrame:
+    """Chunks whole, words first."""
+    return rows.select(*ROWS.names).repartition("chunk").sortWithinPartitions("chunk", "kind")
 
 
-def whole_chunks(batches: Iterable[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[list[pa.Array], int, np.ndarray, list, np.ndarray]]:
-    """For each chunk of rejoin(): the columns' values by code, the chunk, its word codes, document ids and lengths."""
-    held: list[list[pa.Array]] = [[] for _ in columns]
+def pieces(batches: Iterable[pa.RecordBatch], columns: int) -> Iterator[tuple[dict, np.ndarray, list[np.ndarray], list[np.ndarray], bytes, np.ndarray, list, np.ndarray]]:
+    """Of by_chunk() rows, for each row of documents: a dict that lasts as long as the chunk, what its word rows hold
+    (word codes, columns, bytes, all joined), and the row's position codes, ids and lengths."""
+    chunk, words, held, memo = None, {}, None, {}
     for batch in batches:
-        code = batch.column(batch.schema.get_field_index("code")).to_numpy()
-        begin = 0
-        for end in [*np.flatnonzero(code == DOCS).tolist(), len(code)]:
-            if end > begin:
-                for k, name in enumerate(columns):
-                    held[k].append(batch.column(batch.schema.get_field_index(name)).slice(begin, end - begin))
-            if end < len(code):
-                row = {n: batch.column(batch.schema.get_field_index(n))[end].as_py() for n in ("chunk", "blob", "ids", "lens")}
-                yield [pa.concat_arrays(x) if x else None for x in held], row["chunk"], unpack(row["blob"]), row["ids"], np.array(row["lens"], np.int64)
-                held = [[] for _ in columns]
-            begin = end + 1
+        for row in range(batch.num_rows):
+            bucket, now, kind, blob, n, docs, lens = (batch.column(k)[row].as_py() for k in range(len(ROWS)))
+            if now != chunk:
+                chunk, words, held, memo = now, {}, None, {}
+            if kind == WORDS:  # chunks of equal contents share their words
+                words[bucket] = words.get(bucket) or unpack_entries(blob, columns)
+                continue
+            if held is None:
+                none = np.zeros(0, np.int64)
+                some = list(words.values())
+                code = np.concatenate([w[0] for w in some]) if some else none
+                if len(code) != n:
+                    raise RuntimeError("a chunk has lost words: the input gave other rows when it was read again")
+                held = code, [np.concatenate([w[1][c] for w in some]) if some else none for c in range(columns)], [w[2] for w in some]
+                words = {}
+            yield memo, *held, unpack(blob), docs, np.array(lens, np.int64)

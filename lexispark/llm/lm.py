@@ -9,6 +9,7 @@ over every training document; it has at most (TOP + BANDS) ** 3 cells, so the dr
 from __future__ import annotations
 
 import functools
+import heapq
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -19,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._chunks import DOCS, coded, rejoin, whole_chunks
+from ._chunks import DDL, DOCUMENTS, WORDS, by_chunk, cut, pack_entries, pieces, replaced, unpack_entries, words_in
 from ._tables import materialise
 
 TOP, BANDS = 112, 16
@@ -47,20 +48,66 @@ def trains(doc: int | None) -> bool:
     return doc is not None and zlib.crc32(str(doc).encode()) % 10 != 0
 
 
-def _classes(batches: Iterable[pa.RecordBatch], total: int, distinct: int, once: int, rare: int, mass: dict[int, tuple[int, int]]) -> Iterator[pa.RecordBatch]:
-    """A row a chunk: the tokens' classes, and for each document what does not depend on the model."""
-    share = np.zeros(K)
-    for c, (s, n) in mass.items():
-        share[c] = s + ALPHA * n
+def _totals(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows by bucket. Of each bucket: how many words have a count, and the TOP words."""
+    for _, counts in _buckets(batches):
+        n, words = np.unique(np.fromiter(counts.values(), np.int64, len(counts)), return_counts=True)
+        best = heapq.nsmallest(TOP, counts.items(), key=lambda x: (-x[1], x[0]))
+        yield pa.record_batch([pa.array([None] * len(n) + [w for w, _ in best], pa.binary()), pa.array([*n.tolist(), *(c for _, c in best)], pa.int64()), pa.array([*words.tolist(), *[1] * len(best)], pa.int64())], names=["word", "c", "n"])
+
+
+def _buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, dict[bytes, int]]]:
+    """Rows come by (key, pass): each row of words once to be added up, and once more, if wanted, to be answered."""
+    key, counts, answered = None, {}, False
+    for batch in batches:
+        keys, second = batch.column(0).to_numpy(), batch.column(batch.schema.get_field_index("pass")).to_numpy()
+        for k in range(batch.num_rows):
+            if keys[k] != key:
+                if counts and not answered:
+                    yield [], counts
+                key, counts, answered = keys[k], {}, False
+            if second[k]:
+                answered = True
+                yield [batch, k], counts
+                continue
+            _, (lens, n), data = unpack_entries(batch.column(3)[k].as_py(), 2)
+            for w, c in zip(words_in(lens, data), n.tolist(), strict=True):
+                counts[w] = counts.get(w, 0) + c
+    if counts and not answered:
+        yield [], counts
+
+
+def _answers(batches: Iterable[pa.RecordBatch], top: dict[bytes, int], least: float) -> Iterator[pa.RecordBatch]:
+    """Each row of words with the words' counts in the whole corpus and their classes."""
+    for (batch, k), counts in _buckets(batches):
+        codes, (lens, _), data = unpack_entries(batch.column(3)[k].as_py(), 2)
+        words = words_in(lens, data)
+        c = np.fromiter(map(counts.__getitem__, words), np.int64, len(words))
+        cls = band(c, least)
+        for at in [i for i, w in enumerate(words) if w in top]:
+            cls[at] = top[words[at]]
+        yield replaced(batch, k, pack_entries(codes, [c & 0xFFFFFFFF, c >> 32, cls], b""))
+
+
+def band(c: np.ndarray, least: float) -> np.ndarray:
+    """The class of words with count c that are no class of their own; unknown words join those seen once."""
+    return TOP + np.clip(np.floor(np.log2(least / np.maximum(c, 1)) + 1e-9), 0, BANDS - 1).astype(np.int64)
+
+
+def _classes(batches: Iterable[pa.RecordBatch], total: int, distinct: int, once: int, rare: int, mass: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row for each row of documents: the tokens' classes, and what does not depend on the model."""
     new = max(ALPHA, once)  # all unknown words together get the weight of those seen once, in their class
-    share[rare] += new
-    for (count, cls), _, codes, docs, lens in whole_chunks(batches, ["c", "cls"]):
-        count, cls = count.to_numpy().astype(float), cls.to_numpy()
-        base = np.log10((count + ALPHA) / (total + ALPHA * (distinct + 1)))
-        inside = np.log10(np.where(count > 0, count + ALPHA, new) / share[cls])
+    share = mass + new * (np.arange(K) == rare)
+    for memo, code, columns, _, positions, docs, lens in pieces(batches, 3):
+        if not memo:
+            count, cls = np.zeros(len(code)), np.zeros(len(code), np.int64)
+            count[code], cls[code] = columns[0] + (columns[1] << 32), columns[2]
+            base = np.log10((count + ALPHA) / (total + ALPHA * (distinct + 1)))
+            memo["table"] = count, cls.astype(np.uint8), base, np.log10(np.where(count > 0, count + ALPHA, new) / share[cls])
+        count, cls, base, inside = memo["table"]
         at = np.cumsum(lens) - lens
-        fold = lambda x: np.add.reduceat(x[codes], at)
-        blob = zstandard.compress(cls.astype(np.uint8)[codes].tobytes(), 1)
+        fold = lambda x: np.add.reduceat(x[positions], at)
+        blob = zstandard.compress(cls[positions].tobytes(), 1)
         yield pa.record_batch([pa.array([x]) for x in (blob, docs, lens.tolist(), fold(base).tolist(), fold(inside).tolist(), fold((count > 0).astype(np.int64)).tolist())], names=["blob", "ids", "lens", "base", "inside", "known"])
 
 
@@ -143,17 +190,30 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     than the two named are not read.
     """
     spark = docs.sparkSession
-    table = materialise(coded(docs, words_of, each_word, trains, END, id_col, text_col), "lm-words")
-    counts = materialise(table.where(F.col("code") < DOCS).groupBy("word").agg(F.sum("n").alias("c")), "lm-counts")
-    total, distinct, once = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.count_if(F.col("c") == 1)).first()
-    top = counts.where((F.col("c") > 0) & (F.col("word") != END)).orderBy(F.desc("c"), "word").limit(TOP - 1).collect()
-    names = spark.createDataFrame([(bytearray(END), 0), *((r["word"], k) for k, r in enumerate(top, 1))], "word binary, own int")
-    least = float(min((r["c"] for r in top), default=1))
-    rare = TOP + min(BANDS - 1, int(np.floor(np.log2(least) + 1e-9)))  # the class of words seen once or never
-    band = F.least(F.lit(rare - TOP), F.floor(F.log2(least / F.greatest("c", F.lit(1))) + 1e-9).cast("int"))
-    classed = counts.join(F.broadcast(names), "word", "left").select("word", "c", F.coalesce("own", F.lit(TOP) + F.greatest(F.lit(0), band)).cast("int").alias("cls"))
-    mass = {r["cls"]: (r["s"], r["n"]) for r in classed.where("c > 0").groupBy("cls").agg(F.sum("c").alias("s"), F.count("*").alias("n")).collect()}
-    chunks = materialise(rejoin(table, classed, ["c", "cls"]).mapInArrow(functools.partial(_classes, total=total, distinct=distinct, once=once, rare=rare, mass=mass), "blob binary, ids array<bigint>, lens array<bigint>, base array<double>, inside array<double>, known array<bigint>"), "lm-classes")
+    table = materialise(cut(docs, words_of, each_word, id_col, text_col, trains, END), "lm-words")
+    words = table.where(F.col("kind") == WORDS)
+    once_each = words.withColumn("pass", F.lit(0)).repartition("key").sortWithinPartitions("key")
+    sums = once_each.mapInArrow(_totals, "word binary, c bigint, n bigint").where("c > 0")
+    sums = materialise(sums.groupBy("word", "c").agg(F.sum("n").alias("n")), "lm-counts")
+    counts = sums.where("word is null").agg(F.sum(F.col("c") * F.col("n")), F.sum("n"), F.sum(F.when(F.col("c") == 1, F.col("n")))).first()
+    total, distinct, once = (x or 0 for x in counts)
+    best = sums.where(F.col("word").isNotNull() & (F.col("word") != END)).orderBy(F.desc("c"), "word").limit(TOP - 1).collect()
+    end = sum(r["c"] for r in sums.where(F.col("word") == END).collect())
+    own = [(END, end), *((bytes(r["word"]), r["c"]) for r in best)]
+    top, least = {w: k for k, (w, _) in enumerate(own)}, float(min((c for _, c in own[1:]), default=1))
+    # how many words have a count: the classes' weights follow, those of the TOP words taken out of the bands
+    by_size = sums.where("word is null").groupBy((F.when(F.col("c") >= least, F.lit(least)).otherwise(F.col("c"))).alias("c0")).agg(F.sum("n").alias("n"), F.sum(F.col("c") * F.col("n")).alias("s")).toPandas()
+    mass = np.zeros(K)
+    np.add.at(mass, band(by_size["c0"].to_numpy(float), least), by_size["s"].to_numpy(float) + ALPHA * by_size["n"].to_numpy(float))
+    for k, (_, c) in enumerate(own):
+        if c:
+            mass[k] = c + ALPHA
+            mass[band(np.array([c]), least)] -= c + ALPHA
+    rare = int(band(np.array([1]), least)[0])
+    twice = words.withColumn("pass", F.explode(F.array(F.lit(0), F.lit(1)))).repartition("key").sortWithinPartitions("key", "pass")
+    known = twice.mapInArrow(functools.partial(_answers, top=top, least=least), DDL)
+    chunks = by_chunk(known.unionByName(table.where(F.col("kind") == DOCUMENTS)))
+    chunks = materialise(chunks.mapInArrow(functools.partial(_classes, total=total, distinct=distinct, once=once, rare=rare, mass=mass), "blob binary, ids array<bigint>, lens array<bigint>, base array<double>, inside array<double>, known array<bigint>"), "lm-classes")
     cells = chunks.select("blob", "ids", "lens").mapInArrow(_triples, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     params = spark.sparkContext.broadcast(train(cells["cell"].to_numpy(), cells["n"].to_numpy()))
     return chunks.mapInArrow(functools.partial(_score, params=params), SCORED).withColumn("train_tokens", F.lit(total).cast("bigint"))
