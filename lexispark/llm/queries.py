@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, contamination, licenses, lm, neardup, pii, token_counts, topk, toxicity
+from . import bpe, contamination, licenses, linededup, lm, neardup, pii, token_counts, topk, toxicity
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +50,11 @@ def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return kept.select("doc_id", F.col("_n_lines").cast("bigint").alias("n_lines"), F.col("_n_gone").cast("bigint").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(spark.read.parquet(f"{sf_dir}/documents.parquet"), pii.train())
     counts = [pii.count_of(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS[:4]]
@@ -57,7 +62,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lm, op2_byte_bpe, op3_licenses, op4_topk, op5_contamination, op6_toxicity, op7_token_counts, op8_neardup, op10_pii)}
+    return {f.__name__: f for f in (op1_lm, op2_byte_bpe, op3_licenses, op4_topk, op5_contamination, op6_toxicity, op7_token_counts, op8_neardup, op9_line_dedup, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
