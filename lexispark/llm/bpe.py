@@ -10,13 +10,11 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ._chunks import binary_parts, coded, ragged, rejoin, whole_chunks
-from ._tables import materialise
+from ._chunks import DDL, DOCUMENTS, WORDS, by_chunk, cut, pack_entries, pieces, planes, ragged, replaced, unpack_entries, unplanes, words_in
 
-#: Ids sent to the JVM in one batch.
-BATCH_IDS = 1 << 20
+#: Words whose ids a worker remembers.
+REMEMBERED = 1_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -51,26 +49,35 @@ def _encoder(pattern: str, items: tuple) -> object:
 
 
 def _encode_words(batches: Iterable[pa.RecordBatch], shared, pattern: str) -> Iterator[pa.RecordBatch]:
-    encode = _encoder(pattern, tuple(shared.value.items()))
+    """Each distinct word of a bucket is encoded once."""
+    encode, known = _encoder(pattern, tuple(shared.value.items())), {}
     for batch in batches:
-        ids = [np.array(encode(w), "<u4").tobytes() for w in batch.column(0).to_pylist()]
-        yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary())], names=["word", "word_ids"])
+        for k in range(batch.num_rows):
+            codes, (lens,), data = unpack_entries(batch.column(3)[k].as_py(), 1)
+            out = []
+            for w in words_in(lens, data):
+                if (ids := known.get(w)) is None:
+                    ids = known[w] = np.array(encode(w), "<u4").tobytes()
+                out.append(ids)
+            if len(known) > REMEMBERED:
+                known.clear()
+            yield replaced(batch, k, pack_entries(codes, [np.array([len(x) // 4 for x in out])], planes(np.frombuffer(b"".join(out), "<u4"))))
 
 
 def _assemble(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for (found,), _, codes, docs, lens in whole_chunks(batches, ["word_ids"]):
-        data, sizes = binary_parts(found) if found is not None else (np.zeros(0, np.uint8), np.zeros(0, np.int64))
-        values, sizes = data.view("<u4"), sizes // 4
-        starts, at, out, held = np.cumsum(sizes) - sizes, 0, [], 0
-        for n in lens.tolist():
-            mine = codes[at : at + n]
+    """Word ids by code, put together position by position."""
+    for memo, code, columns, data, positions, docs, lens in pieces(batches, 1):
+        if not memo:
+            size, sizes, starts = (columns[0], *np.zeros((2, len(code)), np.int64))
+            sizes[code], starts[code] = size, np.cumsum(size) - size
+            memo["table"] = np.concatenate([unplanes(x) for x in data]) if data else np.zeros(0, np.uint32), starts, sizes
+        values, starts, sizes = memo["table"]
+        at, out = 0, []
+        for k in lens.tolist():
+            mine = positions[at : at + k]
             out.append(values[ragged(starts[mine], sizes[mine])])
-            at, held = at + n, held + len(out[-1])
-            if held >= BATCH_IDS:
-                yield _ids_batch(docs[: len(out)], out)
-                docs, out, held = docs[len(out) :], [], 0
-        if out:
-            yield _ids_batch(docs, out)
+            at += k
+        yield _ids_batch(docs, out)
 
 
 def _ids_batch(docs: list, out: list[np.ndarray]) -> pa.RecordBatch:
@@ -81,17 +88,19 @@ def _ids_batch(docs: list, out: list[np.ndarray]) -> pa.RecordBatch:
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) for each row: each match of pattern encoded by itself, no special tokens.
 
-    Pre-tokens go out with their positions as chunk codes; each distinct one is shuffled to one place, encoded once,
-    joined back to its chunks, and the documents are put together by position. Null and empty texts have no ids;
+    Pre-tokens stay with their positions as codes of their chunk; the distinct ones of each chunk are shuffled by their
+    hash to one bucket, encoded once there, joined back to their chunks by code, and the documents are put together by
+    position. A bucket streams; a worker remembers up to REMEMBERED words. Texts
+    are cut twice, for the words and for the positions, rather than kept on disk in between: docs must be a table that
+    reads the same each time, as files do; if it doesn't, chunks have other names and the query fails. Null and empty texts have no ids;
     repeated rows and repeated or null doc_ids give a row each; an empty table gives no rows; columns other than the
     two named are not read. Invalid Unicode can't occur in a Spark string.
     """
-    cut = Pretokens(pattern)
-    table = materialise(coded(docs, cut.all, cut.each, id_col=id_col, text_col=text_col), "bpe")
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # of fixed size: the vocabulary
-    words = table.where(F.col("n").isNotNull() & F.col("ids").isNull()).select("word").distinct()
-    known = words.mapInArrow(functools.partial(_encode_words, shared=shared, pattern=pattern), "word binary, word_ids binary")
-    return rejoin(table, known, ["word_ids"]).mapInArrow(_assemble, "doc_id bigint, ids array<int>")
+    words = Pretokens(pattern)
+    rows = {kind: cut(docs, words.all, words.each, id_col, text_col, kinds=(kind,)) for kind in (WORDS, DOCUMENTS)}
+    known = rows[WORDS].repartition("key").mapInArrow(functools.partial(_encode_words, shared=shared, pattern=pattern), DDL)
+    return by_chunk(known.unionByName(rows[DOCUMENTS])).mapInArrow(_assemble, "doc_id bigint, ids array<int>")
 
 
 def token_bytes(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
