@@ -89,9 +89,9 @@ def tagged_score(c: Column, tag: str = "score") -> Column:
 
 
 def brand(c: Column) -> Column:
-    """The leading run of capital words, else the first word."""
-    caps = F.trim(F.regexp_extract(c, r"^([\p{Lu}\d][\p{Lu}\d'/-]+(?:\s+[\p{Lu}\d][\p{Lu}\d'/-]+)*)(?=\s|$)", 1))
-    return F.coalesce(F.nullif(caps, F.lit("")), F.element_at(F.split(F.trim(c), r"\s+"), 1))
+    """The leading capitals up to a number or the end, else the first word, in capitals."""
+    caps = F.trim(F.regexp_extract(F.trim(c), r"^([A-ZÉÈÊÀÂÔÎÛÇ\- ]+?)(?=\s*[0-9,]|$)", 1))
+    return F.upper(F.coalesce(F.nullif(caps, F.lit("")), F.element_at(F.split(F.trim(c), r"\s+"), 1)))
 
 
 def dosage(c: Column) -> Column:

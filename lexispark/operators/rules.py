@@ -108,11 +108,16 @@ def ngram_counts(texts: DataFrame, text: str, keys: DataFrame, key: str = "key")
 
     Only n-grams of the keys' lengths are made, and the keys' first words are tested before the join.
     """
-    sizes = [r[0] for r in keys.select(F.size(F.split(key, " "))).distinct().collect()]
-    words = texts.select(key_words(F.col(text)).alias("w"))
-    grams = [F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - n + 1, F.lit(1))), lambda k, n=n: F.array_join(F.slice("w", k, n), " "))).otherwise(F.array().cast("array<string>")) for n in sizes]
-    every = words.select(F.explode(F.concat(*grams)).alias(key)) if grams else words.select(F.lit("").alias(key)).limit(0)
-    return every.groupBy(key).agg(F.count("*").alias("n")).join(keys.select(key).distinct(), key, "left_semi")
+    sizes = sorted(r[0] for r in keys.select(F.size(F.split(key, " "))).distinct().collect())
+
+    def grams(w: Column, n: int) -> Column:
+        joined = lambda k: F.concat_ws(" ", *[F.get(w, k + j) for j in range(n)])
+        return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - n, F.lit(0))), joined)).otherwise(F.array().cast("array<string>"))
+
+    # the words are bound once to a lambda's variable; as a column they would be cut anew for each use
+    every = F.flatten(F.transform(F.array(key_words(F.col(text))), lambda w: F.concat(*[grams(w, n) for n in sizes])))
+    found = texts.select(F.explode(every).alias(key)) if sizes else keys.select(key).limit(0)
+    return found.groupBy(key).agg(F.count("*").alias("n")).join(keys.select(key).distinct(), key, "left_semi")
 
 
 def mine(evidence: DataFrame, labels: DataFrame, hypotheses: DataFrame, lexicon: DataFrame, zipf: DataFrame, min_length: int = 5, min_share: float = 0.9, min_precision: float = 0.8, min_clips: int = 1, min_similarity: float = 0.5, min_word_clips: int = 2, max_zipf: float = 2.5) -> DataFrame:
@@ -174,6 +179,20 @@ def merge(rules: list[dict], apart: frozenset[int] = frozenset()) -> list[tuple[
     return sorted(out, key=lambda x: x[0][0])
 
 
+def _faulty(rules: list[dict], merged: list[tuple[list[int], dict]]):
+    def run(s):
+        one, two = RuleIndex(rules), RuleIndex([r for _, r in merged])
+        out = []
+        for x in s:
+            fired: list[int] = []
+            wrong = x is not None and one.fix(x) != two.fix(x, fired)
+            out.append([merged[j][0][0] for j in fired if len(merged[j][0]) > 1] if wrong else [])
+        return pd.Series(out)
+
+    run.__annotations__ = {"s": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, "array<int>")
+
+
 def merge_verified(rules: list[dict], texts: DataFrame, text: str) -> list[dict]:
     """Merged rules that give what the given ones give on every text: groups that change one are split until none does.
 
@@ -183,17 +202,7 @@ def merge_verified(rules: list[dict], texts: DataFrame, text: str) -> list[dict]
     while True:
         merged = merge(rules, apart)
 
-        def faulty(s, merged=merged):
-            one, two = RuleIndex(rules), RuleIndex([r for _, r in merged])
-            out = []
-            for x in s:
-                fired: list[int] = []
-                wrong = x is not None and one.fix(x) != two.fix(x, fired)
-                out.append([merged[j][0][0] for j in fired if len(merged[j][0]) > 1] if wrong else [])
-            return pd.Series(out)
-
-        faulty.__annotations__ = {"s": pd.Series, "return": pd.Series}
-        bad = texts.select(F.explode(F.pandas_udf(faulty, "array<int>")(F.col(text))).alias("k")).distinct().collect()
+        bad = texts.select(F.explode(_faulty(rules, merged)(F.col(text))).alias("k")).distinct().collect()
         if not bad:
             return [r for _, r in merged]
         apart |= {r["k"] for r in bad}
