@@ -350,7 +350,7 @@ def windowed_events(t):
     return grouped.select(F.col("w.start").alias("start"), "event_type", "n", "total")
 
 
-@query("""WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL '30 minutes' THEN 0 ELSE 1 END AS fresh FROM events),
+@query("""WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL '30 minutes' THEN 0 ELSE 1 END AS fresh FROM events),
 s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM g) SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, session""")
 def sessions(t):
     grouped = t.events.groupBy("user_id", F.session_window("ts", "30 minutes").alias("w")).agg(F.count("*").alias("n"))
