@@ -21,8 +21,10 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._tables import short_batches
+
 #: UTF-8 bytes of text in a chunk (a longer document is a chunk of its own); positions in a row of documents.
-CHUNK_BYTES, PIECE = 32 << 20, 50_000
+CHUNK_BYTES, PIECE = 20 << 20, 50_000
 #: A text of more bytes than this is cut into words piece by piece.
 LONG = 1 << 22
 #: Buckets for distinct words: as many as shuffle partitions, within these bounds.
@@ -154,6 +156,7 @@ def cut(docs: DataFrame, words_of: Callable, piece: Callable, id_col: str, text_
     """Chunk rows of docs, of both kinds or one. words_of(bytes) -> list of words; piece(bytes) -> an iterator over the same words, for long
     texts; counted(doc_id) -> whether a document's words are counted (a second column of the word rows); last is a
     word put behind each text."""
+    short_batches(docs.sparkSession)
     two = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     return two.mapInArrow(functools.partial(_cut, words_of=words_of, piece=piece, counted=counted, last=last, buckets=bucket_count(docs.sparkSession), kinds=kinds), DDL)
 

@@ -19,6 +19,14 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """At most so many rows a batch between the JVM and Python: Spark's default of 10,000 is for short rows, and whole
+    texts of that number take hundreds of MB a task."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """df written once as Parquet in the shared folder and read again: it cuts the lineage, outlives a lost
     executor, and what a task numbered (chunk ids) never changes in a later attempt."""

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ._chunks import DDL, DOCUMENTS, WORDS, by_chunk, cut, pack_entries, pieces, planes, ragged, replaced, unpack_entries, unplanes, words_in
 
 #: Words whose ids a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._chunks import pack, unpack
-from ._tables import materialise
+from ._tables import materialise, short_batches
 
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 #: Words of a window; words within which rare terms are near each other; one word in PARTS of a
@@ -203,6 +203,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     have no windows; repeated rows give a row each (with several blocks, rows with equal doc_id and length share their
     hits and stay as many rows); an empty table gives no rows; columns other than those named are not read.
     """
+    short_batches(docs.sparkSession)
     two = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     tests = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text).cast("string").cast("binary").alias("text")).where("item is not null").orderBy("item", "text")
     hits = [_block_hits(two, Windows(block)) for block in _blocks(tests)]

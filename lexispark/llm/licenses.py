@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._tables import short_batches
+
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 
 # Phrases and their labels.
@@ -135,6 +137,7 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     and empty texts have no words; repeated rows and null doc_ids give a row each; an empty table gives no rows;
     columns other than the two named are not read.
     """
+    short_batches(docs.sparkSession)
     two = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     vocabulary = frozenset(w for _, text in templates for w in _words(text.encode()))
     counts = two.select("text").mapInArrow(functools.partial(_frequency, words=vocabulary), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))

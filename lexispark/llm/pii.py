@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._tables import short_batches
+
 # Kinds, in order; the first four also have exact patterns.
 KINDS = ("email", "ip", "card", "phone", "secret")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -261,6 +263,7 @@ def personal_data(docs: DataFrame, model: SemiCRF, id_col: str = "doc_id", text_
     Null and empty texts have no spans; texts of any length are read whole; repeated rows and null doc_ids give a row
     each; an empty table gives no rows; columns other than the two named are not read.
     """
+    short_batches(docs.sparkSession)
     two = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return two.mapInArrow(functools.partial(_find, model=model), FOUND)
 

@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._tables import short_batches
+
 #: Characters a block, characters a run in lockstep, pre-tokens whose counts a worker remembers.
 BLOCK, RUN, REMEMBERED = 2048, 1 << 23, 400_000
 
@@ -277,6 +279,7 @@ def token_counts(docs: DataFrame, vocabulary: dict, limit: int = 1024, id_col: s
     Null and empty texts have 0 bytes and tokens; texts of any length are counted whole; repeated rows and null
     doc_ids give a row each; an empty table gives no rows; columns other than the two named are not read.
     """
+    short_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # of fixed size
     two = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return two.mapInArrow(functools.partial(_count, shared=shared), "doc_id bigint, n_bytes bigint, n_tokens bigint").withColumn("over_limit", F.col("n_tokens") > limit)

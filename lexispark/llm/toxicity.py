@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._tables import materialise
+from ._tables import materialise, short_batches
 
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 #: Besides itself a word has its beginnings of so many characters as features, as insults are inflected.
@@ -23,7 +23,7 @@ BEGINNINGS = (4, 5, 6, 7)
 #: words of a text that are read for fitting (scores read whole texts).
 ROWS, VOCABULARY, LEAST, APART, READ = 12_000, 3_000, 5, 4.0, 4_000
 #: Words whose features a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 #: Severity grades 0 to GRADES - 1; a text whose expected severity reaches REJECT is toxic.
 GRADES, REJECT = 4, 0.5
 PASSES, RATE, LASSO = 600, 0.1, 1e-3
@@ -146,6 +146,7 @@ def toxicity(docs: DataFrame, model: OrdinalModel, text_col: str = "text", rejec
     Null and empty texts are clean; repeated rows are scored alike, one by one; an empty table gives no rows. Columns
     of docs stay, except those named severity, grade, toxic and _text, which are replaced.
     """
+    short_batches(docs.sparkSession)
     keep = docs.drop("severity", "grade", "toxic", "_text").withColumn("_text", F.col(text_col).cast("string").cast("binary"))
     schema = T.StructType([*keep.schema.fields, T.StructField("severity", T.DoubleType()), T.StructField("grade", T.IntegerType())])
     return keep.mapInArrow(functools.partial(_score, model=model, column=len(keep.columns) - 1), schema).drop("_text").withColumn("toxic", F.col("severity") >= reject)
