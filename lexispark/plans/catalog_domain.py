@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import drugs, validators
+from ..functions import terms
+from ..operators import drugs, generation, outcomes, validators
 from ..streaming import state
 from .registry import query
 
@@ -138,3 +139,51 @@ def parsed_blocks(t):
     raw = F.concat(F.lit("<think>plan\n<t>no</t></think><t> "), F.col("p_name"), F.lit("\n x</t> <t>"), F.col("p_type"), F.lit("</t><score>grade: "), F.col("p_size").cast("string"), F.lit("</score>"))
     text = C.without_reasoning(raw)
     return t.part.select("p_partkey", F.array_join(C.blocks(text), "|").alias("blocks"), C.tagged_score(text).alias("score"))
+
+
+@query()
+def term_outcomes(t):
+    heard = F.regexp_replace("p_name", "r", "l")
+    pairs = t.part.select("p_name", heard.alias("hyp"))
+    found = outcomes.report(pairs, "p_name", "hyp", frozenset({"ring", "rod", "small", "large", "spring", "gear", "red"}))
+    return found.select("key", "n_seen", "n_correct", "n_deleted", "n_errors")
+
+
+@query()
+def normalised_terms(t):
+    raw = F.concat(F.split("p_name", " ")[1], F.lit(" (maladie de) "), F.split("p_name", " ")[0], F.lit("+"))
+    return t.part.select("p_partkey", terms.normalised_term(raw).alias("term"), terms.is_sayable(raw).alias("sayable"))
+
+
+@query("SELECT p_partkey, 'Masse de ' || p_size || ' fois 4 cm, 37 degrés, 3 plus 3. Suite inférieur à ' || p_size AS line FROM part")
+def raw_lines(t):
+    n = F.col("p_size").cast("string")
+    return t.part.select("p_partkey", terms.raw_line(F.concat(F.lit("Masse (vue (ici)) de "), n, F.lit("x4 cm, 37° , 3+3.Suite < "), n)).alias("line"))
+
+
+@query("SELECT p_partkey, 'anémie ' || p_type AS term FROM part")
+def terms_without_tails(t):
+    return t.part.select("p_partkey", terms.without_tail(F.concat(F.lit("anémie "), "p_type", F.lit(" n. f."))).alias("term"))
+
+
+@query("""WITH w AS (SELECT p_partkey AS index, p_size // 5 AS score, CASE WHEN p_size // 5 BETWEEN 8 AND 10 THEN 3 WHEN p_size // 5 BETWEEN 3 AND 7 THEN 1 ELSE 0 END AS wanted FROM part), d AS (SELECT l_partkey AS index, count(*) AS have FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
+SELECT index, wanted - coalesce(have, 0) AS left_to_do FROM w LEFT JOIN d USING (index) WHERE wanted > 0 AND wanted - coalesce(have, 0) > 0""")
+def planned_variants(t):
+    rows = t.part.select(F.col("p_partkey").alias("index"), F.expr("p_size div 5").cast("string").alias("score"))
+    done = t.lineitem.where("l_returnflag = 'R'").select(F.col("l_partkey").alias("index"))
+    return generation.plan(rows, [(8, 10, 3), (3, 7, 1)], done).select("index", "left_to_do")
+
+
+@query("""WITH r AS (SELECT p_partkey AS term_index, CASE WHEN p_size % 4 = 0 THEN '' WHEN p_size % 4 = 1 THEN p_name ELSE p_name || '!' END AS proposed FROM part WHERE p_partkey % 3 = 0)
+SELECT term_index, CASE WHEN proposed = '' THEN 'drop' WHEN proposed = p_name THEN 'keep' ELSE 'rename' END AS action FROM r JOIN part ON p_partkey = term_index""")
+def review_actions(t):
+    kind = F.col("p_size") % 4
+    review = t.part.where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("term_index"), F.when(kind == 0, "").when(kind == 1, F.col("p_name")).otherwise(F.concat("p_name", F.lit("!"))).alias("proposed"))
+    return generation.classify_review(review, t.part.select(F.col("p_partkey").alias("term_index"), F.col("p_name").alias("term"))).select("term_index", "action")
+
+
+@query("""SELECT count(*) AS calls, sum(l_quantity)::DOUBLE AS prompt_tokens, sum(l_linenumber)::DOUBLE AS answer_tokens, round(sum(l_extendedprice), 2) AS cost FROM lineitem""")
+def call_ledger(t):
+    calls = t.lineitem.select(F.col("l_quantity").alias("prompt_tokens"), F.col("l_linenumber").alias("answer_tokens"), F.col("l_extendedprice").alias("cost"))
+    out = generation.ledger(calls, t.part.select(F.col("p_size").alias("prompt_tokens")))
+    return out.select("calls", F.col("prompt_tokens").cast("double").alias("prompt_tokens"), F.col("answer_tokens").cast("double").alias("answer_tokens"), F.round("cost", 2).alias("cost"))
