@@ -1,9 +1,14 @@
-"""Fuzzy line dedup by DataFrame functions alone: SimHash, pigeonhole blocks, edit similarity, components."""
+"""Fuzzy line dedup by DataFrame functions alone: SimHash, pigeonhole blocks, edit similarity, components.
+
+A line's SimHash has three blocks. A word belongs to one block by its hash, and a block is the majority vote of its own
+distinct words' bits. So edits that touch fewer than three blocks (one word put in or taken out touches one, one replaced
+two at most) leave a block as it was, and lines meet by joining on equal blocks. Of these, lines whose other blocks are
+within RADIUS bits are verified by edit similarity.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,55 +16,49 @@ from pyspark.sql import functions as F
 from ._graph import components
 from ._tables import materialise
 
-#: Bits in which SimHashes may differ; edit similarity (1 - distance / longer length) from which lines are linked, and
-#: the distance beyond which they aren't at any length.
-RADIUS, SIMILAR, EDITS = 3, 0.9, 256
+#: Edit similarity (1 - distance / longer length, both in words) from which lines are linked; one edit is always allowed,
+#: more than EDITS aren't at any length.
+SIMILAR, EDITS = 0.9, 64
 #: Words of a line that can be removed, and of one that is compared with others that aren't equal to it.
-LEAST, FUZZY = 2, 6
-#: Lines that may share a block by chance, on average: with more, blocks are widened.
-CROWD = 0.25
-#: Rows up to which a table of line places is broadcast (24 bytes a row); a larger one is joined by a shuffle.
+LEAST, FUZZY = 2, 9
+#: Blocks, and bits of a block: few lines share one by chance while there are fewer than 2 ** BITS.
+BLOCKS, BITS = 3, 28
+#: Bits in which the other blocks of two lines may differ in all: lines with nothing else in common differ in half of them.
+RADIUS = 20
+#: Documents with lines to remove up to which their table is broadcast; a larger one is joined by a shuffle.
 SMALL = 500_000
 
-_LANES = 0x0001000100010001
-
-
-def normalised(line: Column) -> Column:
-    """ASCII letters lower-cased, digits as 0, other ASCII characters and white space as one space, trimmed."""
-    low = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", "abcdefghijklmnopqrstuvwxyz000000000")
-    return F.trim(F.regexp_replace(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F\s]+", " "))
-
 
 def _long(value: int) -> Column:
     return F.lit(value - (1 << 64) if value >= 1 << 63 else value).cast("bigint")
 
 
-def counters(hash_col: str) -> list[Column]:
-    """Sums over a line's words of their hashes' bits: sixteen numbers of four 16-bit counts each; bit k of the hash is
-    counted in lane k div 16 of number k mod 16."""
-    return [F.sum(F.shiftrightunsigned(hash_col, k).bitwiseAND(_long(_LANES))).alias(f"s{k}") for k in range(16)]
+def words_of(line: Column) -> Column:
+    """A line's words: runs of ASCII letters and digits and of other characters, ASCII letters lower-cased (others by
+    their simple mapping)."""
+    return F.array_remove(F.split(F.lower(line), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
-def majority(n: Column) -> Column:
-    """The SimHash of such sums: a bit is set if more than half of n words have it."""
-    bits = [F.when(F.shiftrightunsigned(f"s{k}", 16 * lane).bitwiseAND(_long(0xFFFF)) * 2 > n, _long(1 << (16 * lane + k))).otherwise(_long(0)) for k in range(16) for lane in range(4)]
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+def votes(hashes: Column, width: int) -> Column:
+    """The majority of words' hash bits: BITS of them, counted in lanes of width bits of a few numbers (the top
+    lane stays free, so that no sum overflows). Adding half the lane less half the words carries into a lane's top bit
+    if and only if more than half have the bit."""
+    lanes, half = 64 // width - 1, (1 << (width - 1)) - 1
+    ones = sum(1 << (width * k) for k in range(lanes))
+    rest = _long(ones) * (F.lit(half) - F.floor(F.size(hashes) / 2)).cast("bigint")
 
+    def bits(k: int) -> Column:
+        total = F.aggregate(hashes, _long(0), lambda a, h: a + F.shiftrightunsigned(h, k).bitwiseAND(_long(ones)))
+        top = F.shiftrightunsigned((total + rest).bitwiseAND(_long(ones << (width - 1))), width - 1)
+        return F.shiftleft(top, k)
 
-def block_masks(count: int, radius: int = RADIUS, bits: int = 64) -> list[int]:
-    """Masks of all choices of count - radius out of count blocks: two hashes that differ in at most radius bits agree
-    on at least one, since the differing bits lie in at most radius blocks."""
-    edges = [round(k * bits / count) for k in range(count + 1)]
-    blocks = [((1 << edges[k + 1]) - 1) ^ ((1 << edges[k]) - 1) for k in range(count)]
-    return [sum(blocks[k] for k in some) for some in combinations(range(count), count - radius)]
+    return reduce(lambda a, b: a.bitwiseOR(b), map(bits, range(-(-BITS // lanes))))
 
 
-def masks_for(lines: int, radius: int = RADIUS) -> list[int]:
-    """Masks wide enough that CROWD other lines at most share a block by chance: more of them as the corpus grows."""
-    count = radius + 1
-    while count < 8 and lines / 2 ** (64 * (count - radius) / count) > CROWD:
-        count += 1
-    return block_masks(count, radius)
+def simhash(hashes: Column) -> Column:
+    """A block of the SimHash; null for words that no lane can count, so that such a line only meets its equals."""
+    n = F.size(hashes)
+    return F.when(n < 128, votes(hashes, 8)).when(n < 1 << 15, votes(hashes, 16))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -68,52 +67,69 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("string").alias("doc"), F.xxhash64(F.col(id_col), text).alias("row"), text.alias("text"))
 
 
-def _lines(rows: DataFrame) -> DataFrame:
-    lines = rows.select("doc", "row", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    return lines.select("doc", "row", "at", normalised(F.col("line")).alias("norm")).where("norm <> ''")
-
-
 def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= SMALL else df
 
 
 def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, row, at, hash, sim, n, words): each line with a word, the hash of its normalised form and its SimHash over
-    distinct words (n of them)."""
-    lines = _lines(_rows(docs, id_col, text_col))
-    words = F.split("norm", " ")
-    split = lines.select("doc", "row", "at", F.xxhash64("norm").alias("hash"), F.size(words).alias("words"), F.explode(F.array_distinct(words)).alias("w"))
-    sums = split.select("*", F.xxhash64("w").alias("h")).groupBy("doc", "row", "at", "hash", "words").agg(F.count("*").alias("n"), *counters("h"))
-    return sums.select("doc", "row", "at", "hash", majority(F.col("n")).alias("sim"), "words")
-
-
-def near_pairs(kinds: DataFrame, radius: int) -> DataFrame:
-    """(a, b): hashes of lines within radius bits that share a block, in each block with its first line and with the two
-    lines before in the order of SimHashes; this joins a block's lines without making all pairs."""
-    masks = masks_for(kinds.count(), radius)
-    key = F.explode(F.array(*[F.struct(F.lit(k).alias("mask"), F.col("sim").bitwiseAND(_long(m)).alias("value")) for k, m in enumerate(masks)]))
-    block = Window.partitionBy("k.mask", "k.value").orderBy("sim", "hash")
-    other = lambda f: F.struct(f("hash").alias("hash"), f("sim").alias("sim"))
-    near = kinds.select("hash", "sim", key.alias("k")).select(
-        "hash", "sim", F.array(other(lambda c: F.first(c).over(block)), *(other(lambda c, n=n: F.lag(c, n).over(block)) for n in (1, 2))).alias("others"))
-    pairs = near.select("hash", "sim", F.explode("others").alias("o")).where((F.col("o.hash") != F.col("hash")) & (F.bit_count(F.col("sim").bitwiseXOR(F.col("o.sim"))) <= radius))
+    """(doc, row, at, hash, words, b0, b1, ...): each line, the hash of its words, how many they are, and for lines of
+    FUZZY words the blocks of its SimHash. All in one pass without a shuffle; short lines are left out by the reader of
+    the table, since a filter here would be pushed down and cut every line into words once more."""
+    place = ("doc", "row", "at")
+    lines = _rows(docs, id_col, text_col).select("doc", "row", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    words = lines.select(*place, words_of(F.col("line")).alias("w"))
+    hashed = words.select(*place, F.xxhash64("w").alias("hash"), F.size("w").alias("words"), F.when(F.size("w") >= FUZZY, F.array_distinct(F.transform("w", lambda x: F.xxhash64(x)))).alias("h"))
+    of_block = lambda k: F.filter("h", lambda h: F.pmod(h, F.lit(BLOCKS)) == k)
+    own = [of_block(k).alias(f"h{k}") for k in range(BLOCKS)]
+    return hashed.select(*place, "hash", "words", *own).select(*place, "hash", "words", *[simhash(F.col(f"h{k}")).alias(f"b{k}") for k in range(BLOCKS)])
+
+
+def near_pairs(kinds: DataFrame) -> DataFrame:
+    """(a, b): hashes of lines that share a block and whose numbers of words are no further apart than similar lines' can
+    be. In each block a line is paired with the first one and the one before in the order of the other blocks; this
+    joins a block's lines without making all pairs."""
+    names = [f"b{k}" for k in range(BLOCKS)]
+    key = F.explode(F.array(*[F.struct(F.lit(k).alias("block"), F.col(n).alias("value"), F.array(*[m for m in names if m != n]).alias("rest")) for k, n in enumerate(names)]))
+    rows = kinds.select("hash", "words", key.alias("k")).where("k.value is not null")
+    block = Window.partitionBy("k.block", "k.value").orderBy("k.rest", "hash")
+    other = lambda f: F.struct(f("hash").alias("hash"), f("words").alias("words"), f("k.rest").alias("rest"))
+    near = rows.select("hash", "words", "k.rest", F.array(other(lambda c: F.first(c).over(block)), other(lambda c: F.lag(c).over(block))).alias("others"))
+    bits = F.lit(0)
+    for k in range(BLOCKS - 1):
+        bits = bits + F.bit_count(F.get("rest", F.lit(k)).bitwiseXOR(F.get("o.rest", F.lit(k))))
+    pairs = near.select("hash", "words", "rest", F.explode("others").alias("o")).where("o.hash <> hash and abs(o.words - words) <= 1 + 0.2 * words").where(bits <= RADIUS)
     return pairs.select(F.least("hash", "o.hash").alias("a"), F.greatest("hash", "o.hash").alias("b")).distinct()
 
 
-def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, similar: float = SIMILAR) -> DataFrame:
+def as_letters(words: Column) -> Column:
+    """A string with one character for each word (by its hash, out of a million), so that an edit distance of such
+    strings counts words."""
+    code = lambda w: F.lpad(F.hex(F.lit(0x10000) + F.pmod(F.xxhash64(w), F.lit(1 << 20))), 8, "0")
+    return F.decode(F.unhex(F.array_join(F.transform(words, code), "")), "UTF-32")
+
+
+def within_edits(x: Column, y: Column, similar: float) -> Column:
+    """Whether the edit similarity reaches the limit; the distance is only followed up to it."""
+    nx, ny = F.char_length(x), F.char_length(y)
+    most = F.greatest(F.lit(1), F.least(F.lit(EDITS), F.floor((1 - similar) * F.greatest(nx, ny) + 1e-9).cast("int")))
+    return (F.abs(nx - ny) <= most) & (F.call_function("levenshtein", x, y, most) >= 0)
+
+
+def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
     """(doc, row, gone): the positions of each document's lines that go, because their group's first line stays."""
-    table = materialise(line_table(docs, id_col, text_col).where(F.col("words") >= LEAST), "line-places")
+    table = materialise(line_table(docs, id_col, text_col), "line-places").where(F.col("words") >= LEAST)
     place = F.struct("doc", "row", "at")
-    kinds = materialise(table.groupBy("hash").agg(F.min(place).alias("first"), F.min("sim").alias("sim"), F.min("words").alias("words"), F.count("*").alias("times")), "line-kinds")
-    pairs = materialise(near_pairs(kinds.where(F.col("words") >= FUZZY).select("hash", "sim"), radius), "line-pairs")
-    wanted = pairs.select(F.col("a").alias("hash")).union(pairs.select("b")).distinct().join(kinds, "hash").select("hash", "first.*")
-    wanted = _small(materialise(wanted.withColumnsRenamed({"doc": "doc_", "row": "row_"}), "line-wanted"))
+    blocks = [F.min(f"b{k}").alias(f"b{k}") for k in range(BLOCKS)]
+    kinds = materialise(table.groupBy("hash").agg(F.min(place).alias("first"), F.min("words").alias("words"), F.count("*").alias("times"), *blocks), "line-kinds")
+    pairs = materialise(near_pairs(kinds.where("b0 is not null or b1 is not null or b2 is not null")), "line-pairs")
+    # each pair is sent to the first places of its two lines, and comes back with their words
+    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("hash")).join(kinds.select("hash", "first"), "hash")
+    ends = ends.select("a", "b", F.col("first.doc").alias("doc_"), F.col("first.row").alias("row_"), F.col("first.at").alias("at"))
     rows = _rows(docs, id_col, text_col)
-    found = rows.join(wanted, rows["doc"].eqNullSafe(wanted["doc_"]) & (rows["row"] == wanted["row_"])).select("hash", normalised(F.get(F.split("text", "\n"), F.col("at"))).alias("norm"))
-    texts = materialise(found.groupBy("hash").agg(F.min("norm").alias("norm")), "line-texts")
-    both = pairs.join(texts.select(F.col("hash").alias("a"), F.col("norm").alias("x")), "a").join(texts.select(F.col("hash").alias("b"), F.col("norm").alias("y")), "b")
-    both = both.withColumn("most", F.least(F.lit(EDITS), F.floor((1 - similar) * F.greatest(F.char_length("x"), F.char_length("y")) + 1e-9)).cast("int"))
-    links = both.where(F.expr("levenshtein(x, y, most) >= 0")).select("a", "b")
+    # texts are shuffled whatever the number of pairs, so that a plan that works on a small table is the one at scale
+    found = rows.join(ends.hint("merge"), rows["doc"].eqNullSafe(ends["doc_"]) & (rows["row"] == ends["row_"])).select("a", "b", as_letters(words_of(F.get(F.split("text", "\n"), F.col("at")))).alias("norm"))
+    both = found.groupBy("a", "b").agg(F.min("norm").alias("x"), F.max("norm").alias("y"))
+    links = both.where(within_edits(F.col("x"), F.col("y"), similar)).select("a", "b")
     label = components(links).withColumnRenamed("node", "hash")
     grouped = kinds.join(label, "hash", "left").where("times > 1 or component is not null").withColumn("group", F.coalesce("component", "hash"))
     owner = grouped.groupBy("group").agg(F.min("first").alias("owner"))
@@ -121,17 +137,17 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return gone.groupBy("doc", "row").agg(F.collect_set("at").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, similar: float = SIMILAR) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
     """docs with repeated lines taken out of their texts, and _n_lines and _n_gone beside.
 
-    Lines are equal when their normalised forms are, and linked when these differ by few edits; of each connected
+    Lines are equal when their words are, and linked when these differ by few edits; of each connected
     group over the whole table the first line stays, by id (as a string), row and position. Lines of fewer than LEAST
     words stay. Null and empty texts stay as they are; a text may become empty, but no row goes. Rows equal in id and
     text are one document and come out alike; null ids sort first; an empty table gives no rows. Columns of docs
     stay, except those beginning with _n_ or named _doc, _row and _gone.
     """
     own = docs.drop("_n_lines", "_n_gone", "_doc", "_row", "_gone")
-    gone = materialise(removed_lines(docs, id_col, text_col, radius, similar).select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("gone").alias("_gone")), "line-gone")
+    gone = materialise(removed_lines(docs, id_col, text_col, similar).select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("gone").alias("_gone")), "line-gone")
     text = F.col(text_col).cast("string")
     keyed = own.withColumn("_k", F.xxhash64(F.col(id_col), text))
     gone = _small(gone)
