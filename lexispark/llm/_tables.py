@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -19,6 +25,21 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def lean(f: Callable) -> Callable:
+    """A function of batches that gives its memory back at its end: Spark keeps Python workers for later tasks, and a
+    worker that waits should not hold what the last task needed."""
+
+    @functools.wraps(f)
+    def run(batches, *args, **kwargs):
+        yield from f(batches, *args, **kwargs)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # there is no such call in other C libraries
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def short_batches(spark: SparkSession, rows: int = 1000) -> None:
     """At most so many rows a batch between the JVM and Python: Spark's default of 10,000 is for short rows, and whole
     texts of that number take hundreds of MB a task."""

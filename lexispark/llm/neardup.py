@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._graph import components
-from ._tables import materialise
+from ._tables import lean, materialise, short_batches
 
 #: Words of a shingle; hundredths of Jaccard similarity from which documents are linked.
 SHINGLE, PERCENT = 5, 75
@@ -24,10 +24,15 @@ HASHES = BANDS * ROWS
 #: and taken for sure in building trees (it is verified all the same) above 1 - MISS.
 BATCH, MISS = 32, 1e-5
 #: Members of a bucket that are compared with each other; a larger bucket is dealt to parts, each with its first PIVOTS.
-PART, PIVOTS = 384, 16
+PART, PIVOTS = 256, 16
+#: Undecided pairs of a bucket's part: up to FEW a member all are verified; of more, each member's LIKELIEST ones are, and
+#: members of such large groups meet other ones in other buckets.
+FEW, LIKELIEST = 16, 2
+#: Ways in which the members of large buckets are dealt to parts; bands take turns.
+DEALS = 3
 #: Pairs of one document that one task verifies.
 STAR = 64
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 
 SETS = "doc_id bigint, n bigint, h1 bigint, h2 bigint, sig binary, keys array<bigint>"
 _RNG = np.random.default_rng(20240607)
@@ -76,6 +81,7 @@ def signature(found: np.ndarray) -> np.ndarray:
     return out
 
 
+@lean
 def _sets(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     known = _Hashes()
     turn = np.arange(BANDS, dtype=np.uint64)
@@ -112,7 +118,8 @@ def candidates(sigs: np.ndarray, share: float) -> list[tuple[int, int]]:
     """Pairs of a bucket's members (rows of 8-bit hashes) to verify.
 
     Signatures are compared batch by batch, and pairs pruned after each. Of pairs that are linked for sure a forest is
-    enough, grown from the first members; a member has its likeliest pair with each tree that is not its own besides.
+    enough, grown from the first members. Undecided pairs between its trees are all verified, if they are not more than
+    FEW a member; else each member's LIKELIEST ones are, the likeliest first, in every bucket that it is in.
     """
     m = len(sigs)
     same = np.zeros((m, m), np.int16)
@@ -134,14 +141,17 @@ def candidates(sigs: np.ndarray, share: float) -> list[tuple[int, int]]:
                 tree[tree == tree[j]] = tree[i]
     i, j = np.nonzero(alive & ~sure)
     apart = tree[i] != tree[j]
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for a, b in zip(i[apart].tolist(), j[apart].tolist(), strict=True):
-        for x, y in ((a, b), (b, a)):
-            key = (x, int(tree[y]))
-            best[key] = max(best.get(key, (-1, 0, 0)), (int(same[a, b]), -a, -b))
-    return out + sorted({(-a, -b) for _, a, b in best.values()})
+    i, j = i[apart], j[apart]
+    if len(i) > FEW * m:
+        one, two = np.concatenate([i, j]), np.concatenate([j, i])
+        order = np.lexsort((two, -same[np.minimum(one, two), np.maximum(one, two)], one))
+        one, two = one[order], two[order]
+        rank = np.arange(len(one)) - np.searchsorted(one, one, "left")
+        i, j = np.minimum(one, two)[rank < LIKELIEST], np.maximum(one, two)[rank < LIKELIEST]
+    return out + sorted({*zip(i.tolist(), j.tolist(), strict=True)})
 
 
+@lean
 def _compare(batches: Iterable[pa.RecordBatch], share: float) -> Iterator[pa.RecordBatch]:
     """Rows by (key, part, rep); the last part may go on in the next batch."""
     key, ids, sigs = None, [], []
@@ -163,6 +173,7 @@ def _compare(batches: Iterable[pa.RecordBatch], share: float) -> Iterator[pa.Rec
     yield from done()
 
 
+@lean
 def _verify(batches: Iterable[pa.RecordBatch], percent: int, size: int) -> Iterator[pa.RecordBatch]:
     """Rows by (a, salt, b): texts of a first (b null), then those of its partners."""
     key, own, known = None, [], _Hashes()
@@ -192,25 +203,28 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
 
     Null and empty texts, and those without words, have no shingles and are linked with nothing, as are null ids
     (component null). Rows with equal doc_id are one document, linked if any of their texts is; each gets a row. An
-    empty table gives no rows; columns other than the two named are not read. A link is missed with a probability of
-    about 1e-5 at the threshold and less above it; no two texts are linked that should not be.
+    empty table gives no rows; columns other than the two named are not read. A link at the threshold is missed with a
+    probability of about 1e-5 (one above it with less), and in groups whose members have more than FEW undecided
+    partners each if none of the likeliest ones of any bucket leads there; no two texts are linked that should not be.
     """
+    short_batches(docs.sparkSession)
     two = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     sets = materialise(two.mapInArrow(functools.partial(_sets, size=size), SETS), "sets")
     full = sets.where("n > 0 and doc_id is not null")
     reps = materialise(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("keys").alias("keys")), "representatives")
     order = Window.partitionBy("key").orderBy("rep")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    members = reps.select("rep", F.explode("keys").alias("key")).withColumn("m", F.count("*").over(whole)).withColumn("nth", F.row_number().over(order)).where("m > 1")
+    members = reps.select("rep", F.posexplode("keys").alias("band", "key")).withColumn("m", F.count("*").over(whole)).withColumn("nth", F.row_number().over(order)).where("m > 1")
     parts = F.ceil(F.col("m") / PART)
-    part = F.when(F.col("nth") <= PIVOTS, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("rep", "key"), parts)))
+    part = F.when(F.col("nth") <= PIVOTS, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("rep", F.col("band") % DEALS), parts)))
     dealt = members.select("key", F.explode(part).alias("part"), "rep").join(reps.select("rep", "sig"), "rep").select("key", "part", "rep", "sig")
     dealt = dealt.repartition("key", "part").sortWithinPartitions("key", "part", "rep")
     pairs = materialise(dealt.mapInArrow(functools.partial(_compare, share=percent / 100), "a bigint, b bigint").where("a <> b").distinct(), "pairs")
     stars = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).alias("stars"))
+    # texts are shuffled whatever the number of pairs, so that a plan that works on a small table is the one at scale
     text = two.select(F.col("doc_id").alias("b"), "text")
-    partner = pairs.join(stars, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("stars"))).select("a", "salt", "b").join(text, "b").select("a", "salt", "b", "text")
-    own = stars.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("stars") - 1))).join(text.withColumnRenamed("b", "a"), "a").select("a", "salt", F.lit(None).cast("bigint").alias("b"), "text")
+    partner = pairs.join(stars, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("stars"))).select("a", "salt", "b").join(text.hint("merge"), "b").select("a", "salt", "b", "text")
+    own = stars.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("stars") - 1))).join(text.withColumnRenamed("b", "a").hint("merge"), "a").select("a", "salt", F.lit(None).cast("bigint").alias("b"), "text")
     rows = own.unionByName(partner).repartition("a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b"))
     links = rows.mapInArrow(functools.partial(_verify, percent=percent, size=size), "a bigint, b bigint")
     # rows of one doc_id with other texts are one document
