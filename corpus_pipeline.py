@@ -50,8 +50,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, n_tokens, decoded_sha256): token ids, and the hash of the bytes that they decode to."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    tokens = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
-    return tokens.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2("bytes", 256).alias("decoded_sha256"))
+    return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN).select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
 STAGES = [("toxicity", drop_toxic), ("line_dedup", drop_repeated_lines), ("near_dedup", drop_near_duplicates), ("decontamination", drop_contaminated), ("encode", encode)]

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._tables import short_batches
+from ._tables import lean, short_batches
 
 #: UTF-8 bytes of text in a chunk (a longer document is a chunk of its own); positions in a row of documents.
 CHUNK_BYTES, PIECE = 20 << 20, 50_000
@@ -96,6 +96,7 @@ def words_in(lens: np.ndarray, data: bytes) -> list[bytes]:
     return [data[a:b] for a, b in zip((ends - lens).tolist(), ends.tolist(), strict=True)]
 
 
+@lean
 def _cut(batches: Iterable[pa.RecordBatch], words_of: Callable, piece: Callable, counted: Callable | None, last: bytes | None, buckets: int, kinds: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
     codes, docs, parts, size = Codes(), [], [], 0
 

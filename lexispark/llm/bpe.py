@@ -12,9 +12,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from ._chunks import DDL, DOCUMENTS, WORDS, by_chunk, cut, pack_entries, pieces, planes, ragged, replaced, unpack_entries, unplanes, words_in
+from ._tables import lean
 
 #: Words whose ids a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -48,6 +49,7 @@ def _encoder(pattern: str, items: tuple) -> object:
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=dict(items), special_tokens={})._core_bpe.encode_single_piece
 
 
+@lean
 def _encode_words(batches: Iterable[pa.RecordBatch], shared, pattern: str) -> Iterator[pa.RecordBatch]:
     """Each distinct word of a bucket is encoded once."""
     encode, known = _encoder(pattern, tuple(shared.value.items())), {}
@@ -64,6 +66,7 @@ def _encode_words(batches: Iterable[pa.RecordBatch], shared, pattern: str) -> It
             yield replaced(batch, k, pack_entries(codes, [np.array([len(x) // 4 for x in out])], planes(np.frombuffer(b"".join(out), "<u4"))))
 
 
+@lean
 def _assemble(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Word ids by code, put together position by position."""
     for memo, code, columns, data, positions, docs, lens in pieces(batches, 1):
@@ -85,6 +88,15 @@ def _ids_batch(docs: list, out: list[np.ndarray]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(docs, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(out).astype(np.int32)))], names=["doc_id", "ids"])
 
 
+def _known_chunks(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str, text_col: str) -> DataFrame:
+    """Chunk rows with the ids of each word, by chunk."""
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)  # of fixed size: the vocabulary
+    words = Pretokens(pattern)
+    rows = {kind: cut(docs, words.all, words.each, id_col, text_col, kinds=(kind,)) for kind in (WORDS, DOCUMENTS)}
+    known = rows[WORDS].repartition("key").mapInArrow(functools.partial(_encode_words, shared=shared, pattern=pattern), DDL)
+    return by_chunk(known.unionByName(rows[DOCUMENTS]))
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) for each row: each match of pattern encoded by itself, no special tokens.
 
@@ -96,11 +108,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     repeated rows and repeated or null doc_ids give a row each; an empty table gives no rows; columns other than the
     two named are not read. Invalid Unicode can't occur in a Spark string.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)  # of fixed size: the vocabulary
-    words = Pretokens(pattern)
-    rows = {kind: cut(docs, words.all, words.each, id_col, text_col, kinds=(kind,)) for kind in (WORDS, DOCUMENTS)}
-    known = rows[WORDS].repartition("key").mapInArrow(functools.partial(_encode_words, shared=shared, pattern=pattern), DDL)
-    return by_chunk(known.unionByName(rows[DOCUMENTS])).mapInArrow(_assemble, "doc_id bigint, ids array<int>")
+    return _known_chunks(docs, ranks, pattern, id_col, text_col).mapInArrow(_assemble, "doc_id bigint, ids array<int>")
 
 
 def token_bytes(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
@@ -108,6 +116,7 @@ def token_bytes(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
     return spark.createDataFrame([(i, bytearray(b)) for b, i in ranks.items()], "id int, bytes binary")
 
 
+@lean
 def _decode(batches: Iterable[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     table = shared.value
     for batch in batches:
@@ -127,3 +136,14 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """
     shared = encoded.sparkSession.sparkContext.broadcast({i: b for b, i in ranks.items()})
     return encoded.select("doc_id", "ids").mapInArrow(functools.partial(_decode, shared=shared), "doc_id bigint, ids array<int>, ids_le binary, bytes binary")
+
+
+@lean
+def _both(batches: Iterable[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    return _decode(_assemble(batches), shared)
+
+
+def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """decode(encode(docs)), with both in one pass of a worker over the chunks."""
+    shared = docs.sparkSession.sparkContext.broadcast({i: b for b, i in ranks.items()})
+    return _known_chunks(docs, ranks, pattern, id_col, text_col).mapInArrow(functools.partial(_both, shared=shared), "doc_id bigint, ids array<int>, ids_le binary, bytes binary")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._chunks import pack, unpack
-from ._tables import materialise, short_batches
+from ._tables import lean, materialise, short_batches
 
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 #: Words of a window; words within which rare terms are near each other; one word in PARTS of a
@@ -48,6 +48,7 @@ class Windows:
         self.windows = list(found.items())
 
 
+@lean
 def _index(batches: Iterable[pa.RecordBatch], terms: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
     """Shards: postings are positions in the shard's documents, one behind the other with a gap of one between two."""
     ids, counts, parts, size, at = [], [], [], 0, 0
@@ -114,6 +115,7 @@ class Shard:
         return at
 
 
+@lean
 def _search(batches: Iterable[pa.RecordBatch], windows: list[tuple[tuple[int, ...], list[str], list[int]]]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
@@ -147,6 +149,7 @@ def _search(batches: Iterable[pa.RecordBatch], windows: list[tuple[tuple[int, ..
             yield pa.record_batch([pa.array(row["ids"], pa.int64()), pa.array(lens), *(pa.array([[s[k] for s in x] for x in spans], pa.list_(pa.int64())) for k in (0, 1)), *(pa.array(s, pa.list_(pa.string())) for s in sets)], names=["doc_id", "n_words", "begins", "ends", "items", "near"])
 
 
+@lean
 def _ranked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
@@ -178,6 +181,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[object, bytes | None]]]
     yield held
 
 
+@lean
 def _merge(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in rows:
         n_hit = [sum(b - a for a, b in _union(x)) for x in batch.column(batch.schema.get_field_index("spans")).to_pylist()]

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._tables import short_batches
+from ._tables import lean, short_batches
 
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 
@@ -85,6 +85,7 @@ def blocks_of(raw: bytes) -> Iterator[list[bytes]]:
             yield words[a : a + BLOCK]
 
 
+@lean
 def _frequency(batches: Iterable[pa.RecordBatch], words: frozenset) -> Iterator[pa.RecordBatch]:
     total: Counter = Counter()
     for batch in batches:
@@ -93,6 +94,7 @@ def _frequency(batches: Iterable[pa.RecordBatch], words: frozenset) -> Iterator[
     yield pa.record_batch([pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], names=["word", "n"])
 
 
+@lean
 def _scan(batches: Iterable[pa.RecordBatch], index: TemplateIndex, phrases: dict[str, str]) -> Iterator[pa.RecordBatch]:
     split = [(p.encode().split(), label) for p, label in phrases.items()]
     rare = [p.split()[-1].encode() for p in phrases]

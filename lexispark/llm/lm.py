@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._chunks import DDL, DOCUMENTS, WORDS, by_chunk, cut, pack_entries, pieces, replaced, unpack_entries, words_in
-from ._tables import materialise
+from ._tables import lean, materialise
 
 TOP, BANDS = 112, 16
 K = TOP + BANDS
@@ -48,6 +48,7 @@ def trains(doc: int | None) -> bool:
     return doc is not None and zlib.crc32(str(doc).encode()) % 10 != 0
 
 
+@lean
 def _totals(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows by bucket. Of each bucket: how many words have a count, and the TOP words."""
     for _, counts in _buckets(batches):
@@ -77,6 +78,7 @@ def _buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, dict[byt
         yield [], counts
 
 
+@lean
 def _answers(batches: Iterable[pa.RecordBatch], top: dict[bytes, int], least: float) -> Iterator[pa.RecordBatch]:
     """Each row of words with the words' counts in the whole corpus and their classes."""
     for (batch, k), counts in _buckets(batches):
@@ -94,6 +96,7 @@ def band(c: np.ndarray, least: float) -> np.ndarray:
     return TOP + np.clip(np.floor(np.log2(least / np.maximum(c, 1)) + 1e-9), 0, BANDS - 1).astype(np.int64)
 
 
+@lean
 def _classes(batches: Iterable[pa.RecordBatch], total: int, distinct: int, once: int, rare: int, mass: np.ndarray) -> Iterator[pa.RecordBatch]:
     """A row for each row of documents: the tokens' classes, and what does not depend on the model."""
     new = max(ALPHA, once)  # all unknown words together get the weight of those seen once, in their class
@@ -121,6 +124,7 @@ def _context(blob: bytes, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return two * K + one, cls
 
 
+@lean
 def _triples(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
@@ -170,6 +174,7 @@ def log_probs(p: dict[str, np.ndarray], contexts: np.ndarray) -> np.ndarray:
     return (s - np.log(np.exp(s).sum(1, keepdims=True))) / np.log(10)
 
 
+@lean
 def _score(batches: Iterable[pa.RecordBatch], params) -> Iterator[pa.RecordBatch]:
     table = None
     for batch in batches:

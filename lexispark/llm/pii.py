@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._tables import short_batches
+from ._tables import lean, short_batches
 
 # Kinds, in order; the first four also have exact patterns.
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -245,6 +245,7 @@ def added_spans(text: str, base: list[Span], model: SemiCRF) -> list[Span]:
 FOUND = "doc_id bigint, base array<struct<begin:bigint, end:bigint, kind:string>>, added array<struct<begin:bigint, end:bigint, kind:string>>"
 
 
+@lean
 def _find(batches: Iterable[pa.RecordBatch], model: SemiCRF) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
     rows = lambda spans: [{"begin": b, "end": e, "kind": k} for b, e, k in spans]

@@ -13,8 +13,7 @@ from . import bpe, contamination, licenses, linededup, lm, neardup, pii, token_c
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = bpe.encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks).select(
+    return bpe.round_trip(spark.read.parquet(f"{sf_dir}/documents.parquet"), ranks, public_tokenizers.PATTERN).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2("ids_le", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 

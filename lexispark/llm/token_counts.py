@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._tables import short_batches
+from ._tables import lean, short_batches
 
 #: Characters a block, characters a run in lockstep, pre-tokens whose counts a worker remembers.
 BLOCK, RUN, REMEMBERED = 2048, 1 << 23, 400_000
@@ -173,19 +173,17 @@ class CountTransducer:
         self.start = self._state((b"", ((None, 0),)))
 
     def merge(self, text: bytes) -> list[bytes]:
-        parts = [text[k : k + 1] for k in range(len(text))]
-        while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda k: self.rank.get((parts[k], parts[k + 1]), 1 << 30))
-            pair = (parts[best], parts[best + 1])
-            if pair not in self.rank:
-                break
-            out, k = [], 0
-            while k < len(parts):
-                two = k + 1 < len(parts) and (parts[k], parts[k + 1]) == pair
-                out.append(parts[k] + parts[k + 1] if two else parts[k])
-                k += 1 + two
-            parts = out
-        return parts
+        """The best merge first, the leftmost of equals; a merge's result only takes part in later ones."""
+        parts, rank = [text[k : k + 1] for k in range(len(text))], self.rank.get
+        while True:
+            best, at = 1 << 30, -1
+            for k in range(len(parts) - 1):
+                r = rank((parts[k], parts[k + 1]), best)
+                if r < best:
+                    best, at = r, k
+            if at < 0:
+                return parts
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def _fit(self, before: bytes | None, token: bytes) -> bool:
         key = (before, token)
@@ -253,24 +251,26 @@ def count_texts(texts: list[str], counts: _Counts, added: list[str]) -> list[int
     return out
 
 
+@lean
 def _count(batches: Iterable[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     counts = _Counts(CountTransducer(shared.value["merges"]))
-    for batch in batches:
-        ids, raw = batch.column(0), batch.column(1)
-        held, size, begin = [], 0, 0
-        for k in range(len(raw)):
-            t = raw[k].as_py() or ""
-            if size and size + len(t) > RUN:
-                yield _counted(ids.slice(begin, len(held)), held, counts, shared.value["added"])
-                held, size, begin = [], 0, k
-            held.append(t)
-            size += len(t)
-        if held:
-            yield _counted(ids.slice(begin, len(held)), held, counts, shared.value["added"])
+    ids, texts, size = [], [], 0
 
+    def flush() -> pa.RecordBatch:
+        n = count_texts(texts, counts, shared.value["added"])
+        return pa.record_batch([pa.array(ids, pa.int64()), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
-def _counted(ids: pa.Array, texts: list[str], counts: _Counts, added: list[str]) -> pa.RecordBatch:
-    return pa.record_batch([ids, pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(count_texts(texts, counts, added), pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+    for batch in batches:  # texts of several batches run in lockstep
+        for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            t = t.as_py() or ""
+            if size and size + len(t) > RUN:
+                yield flush()
+                ids, texts, size = [], [], 0
+            ids.append(i)
+            texts.append(t)
+            size += len(t)
+    if ids:
+        yield flush()
 
 
 def token_counts(docs: DataFrame, vocabulary: dict, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

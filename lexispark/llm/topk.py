@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._tables import materialise
+from ._tables import lean, materialise
 
 #: Vectors in a shard (about; a tree is one row), in a leaf, and queries in a block.
 SHARD, LEAF, BLOCK = 16_384, 256, 512
@@ -130,6 +130,7 @@ def _block(key, table, width):  # no hints: Spark would read them
     return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "queries": pa.array([out.getvalue()], pa.binary())})
 
 
+@lean
 def _search(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):

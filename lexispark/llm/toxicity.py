@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._tables import materialise, short_batches
+from ._tables import lean, materialise, short_batches
 
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 #: Besides itself a word has its beginnings of so many characters as features, as insults are inflected.
@@ -42,6 +42,7 @@ def _bag(raw: bytes | None) -> Counter:
     return bag
 
 
+@lean
 def _held(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many toxic and clean rows of a batch hold each feature."""
     for batch in batches:
@@ -52,6 +53,7 @@ def _held(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(list(counts), pa.string()), pa.array([n * (y == 1) for n in counts.values()], pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["feature", "hot", "held"])
 
 
+@lean
 def _vectors(batches: Iterable[pa.RecordBatch], place: dict[str, int]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         bags = [[(place[f], n) for f, n in _bag(t.as_py()).items() if f in place] for t in batch.column(1)]
@@ -117,6 +119,7 @@ def fit(rows: list[tuple[int, dict[int, int]]], words: list[str]) -> OrdinalMode
     return OrdinalModel(words, w, cuts)
 
 
+@lean
 def _score(batches: Iterable[pa.RecordBatch], model: OrdinalModel, column: int) -> Iterator[pa.RecordBatch]:
     known: dict[bytes, tuple[str, ...]] = {}
     for batch in batches:

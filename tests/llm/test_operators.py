@@ -87,6 +87,8 @@ def test_bpe(spark, rows, ranks, monkeypatch):
     want = sorted(((i, lib.encode_ordinary(t or ""), (t or "").encode()) for i, t in rows), key=repr)
     assert sorted(((r.doc_id, r.ids, bytes(r.bytes)) for r in got.collect()), key=repr) == want
     assert all(bytes(r.ids_le) == np.array(r.ids, "<u4").tobytes() for r in got.collect())
+    again = bpe.round_trip(table(spark, rows), ranks, P.PATTERN)
+    assert by_row(again, "doc_id", "ids", "ids_le", "bytes") == by_row(got, "doc_id", "ids", "ids_le", "bytes")
     assert bpe.encode(empty(spark), ranks, P.PATTERN).count() == 0
     assert bpe.token_bytes(spark, {b"a": 0, b"bc": 1}).count() == 2
 
