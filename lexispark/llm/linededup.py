@@ -1,9 +1,10 @@
-"""Fuzzy line dedup by DataFrame functions alone: SimHash, pigeonhole blocks, edit similarity, components.
+"""Fuzzy line dedup by DataFrame functions alone: rare words' pairs, edit similarity, components.
 
-A line's SimHash has three blocks. A word belongs to one block by its hash, and a block is the majority vote of its own
-distinct words' bits. So edits that touch fewer than three blocks (one word put in or taken out touches one, one replaced
-two at most) leave a block as it was, and lines meet by joining on equal blocks. Of these, lines whose other blocks are
-within RADIUS bits are verified by edit similarity.
+Lines within k edits (in words) of each other lose at most k distinct words each. So in any order of all words, the first
+k + TWO distinct words of either have TWO in common (the prefix filter of set-similarity joins), and lines meet by joining
+on pairs of these; long lines, on single ones of the first k + 1. The order is by rarity in a sample of the documents,
+which decides how many lines meet by chance but not which similar ones do: every pair at the limit is a candidate. All
+candidates are verified by edit similarity, but those whose lines are in one group already.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ from ._tables import materialise
 SIMILAR, EDITS = 0.9, 64
 #: Words of a line that can be removed, and of one that is compared with others that aren't equal to it.
 LEAST, FUZZY = 2, 9
-#: Blocks, and bits of a block: few lines share one by chance while there are fewer than 2 ** BITS.
-BLOCKS, BITS = 3, 28
-#: Bits in which the other blocks of two lines may differ in all: lines with nothing else in common differ in half of them.
-RADIUS = 20
+#: Words of a key; lines of LONG words or more have keys of one word, as they have many (and lines close to LONG have both).
+TWO, LONG = 2, 150
+#: Words' hashes are counted in so many cells, over one in SAMPLE documents.
+CELLS, SAMPLE = 1 << 13, 16
+#: Bits of a majority vote.
+BITS = 28
 #: Documents with lines to remove up to which their table is broadcast; a larger one is joined by a shuffle.
 SMALL = 500_000
 
@@ -55,12 +58,6 @@ def votes(hashes: Column, width: int) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), map(bits, range(-(-BITS // lanes))))
 
 
-def simhash(hashes: Column) -> Column:
-    """A block of the SimHash; null for words that no lane can count, so that such a line only meets its equals."""
-    n = F.size(hashes)
-    return F.when(n < 128, votes(hashes, 8)).when(n < 1 << 15, votes(hashes, 16))
-
-
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Row keys and texts: rows equal in id and text are one document."""
     text = F.col(text_col).cast("string")
@@ -71,34 +68,68 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= SMALL else df
 
 
-def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, row, at, hash, words, b0, b1, ...): each line, the hash of its words, how many they are, and for lines of
-    FUZZY words the blocks of its SimHash. All in one pass without a shuffle; short lines are left out by the reader of
-    the table, since a filter here would be pushed down and cut every line into words once more."""
-    place = ("doc", "row", "at")
+def edits(words: Column, similar: float) -> Column:
+    """Edits that a line of so many words may be away from one that isn't longer."""
+    return F.greatest(F.lit(1), F.floor((1 - similar) * words + 1e-9).cast("int"))
+
+
+def rarity(docs: DataFrame, text_col: str = "text") -> Column:
+    """CELLS numbers that grow with how often the words of a cell occur in a sample of the documents: a bounded table,
+    by which words are put in order and nothing else."""
+    text = F.col(text_col).cast("string")
+    some = docs.select(text.alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
+    cells = some.select(F.explode(words_of(F.col("text"))).alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(CELLS)).alias("cell")).agg(F.count("*").alias("n"))
+    level = [0] * CELLS
+    for r in cells.collect():
+        level[r["cell"]] = r["n"].bit_length()
+    return F.split(F.lit(",".join(map(str, level))), ",").cast("array<int>")
+
+
+def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
+    """(doc, row, at, hash, words, rare): each line, the hash of its words, how many they are, and for lines of FUZZY
+    words the codes of its first distinct words in order. All in one pass without a shuffle; short lines are left out by
+    the reader of the table, since a filter here would be pushed down and cut every line into words once more."""
+    place, level = ("doc", "row", "at"), rarity(docs, text_col)
     lines = _rows(docs, id_col, text_col).select("doc", "row", F.posexplode(F.split("text", "\n")).alias("at", "line"))
     words = lines.select(*place, words_of(F.col("line")).alias("w"))
-    hashed = words.select(*place, F.xxhash64("w").alias("hash"), F.size("w").alias("words"), F.when(F.size("w") >= FUZZY, F.array_distinct(F.transform("w", lambda x: F.xxhash64(x)))).alias("h"))
-    of_block = lambda k: F.filter("h", lambda h: F.pmod(h, F.lit(BLOCKS)) == k)
-    own = [of_block(k).alias(f"h{k}") for k in range(BLOCKS)]
-    return hashed.select(*place, "hash", "words", *own).select(*place, "hash", "words", *[simhash(F.col(f"h{k}")).alias(f"b{k}") for k in range(BLOCKS)])
-
-
-def near_pairs(kinds: DataFrame) -> DataFrame:
-    """(a, b): hashes of lines that share a block and whose numbers of words are no further apart than similar lines' can
-    be. In each block a line is paired with the first one and the one before in the order of the other blocks; this
-    joins a block's lines without making all pairs."""
-    names = [f"b{k}" for k in range(BLOCKS)]
-    key = F.explode(F.array(*[F.struct(F.lit(k).alias("block"), F.col(n).alias("value"), F.array(*[m for m in names if m != n]).alias("rest")) for k, n in enumerate(names)]))
-    rows = kinds.select("hash", "words", key.alias("k")).where("k.value is not null")
-    block = Window.partitionBy("k.block", "k.value").orderBy("k.rest", "hash")
-    other = lambda f: F.struct(f("hash").alias("hash"), f("words").alias("words"), f("k.rest").alias("rest"))
-    near = rows.select("hash", "words", "k.rest", F.array(other(lambda c: F.first(c).over(block)), other(lambda c: F.lag(c).over(block))).alias("others"))
-    bits = F.lit(0)
-    for k in range(BLOCKS - 1):
-        bits = bits + F.bit_count(F.get("rest", F.lit(k)).bitwiseXOR(F.get("o.rest", F.lit(k))))
-    pairs = near.select("hash", "words", "rest", F.explode("others").alias("o")).where("o.hash <> hash and abs(o.words - words) <= 1 + 0.2 * words").where(bits <= RADIUS)
-    return pairs.select(F.least("hash", "o.hash").alias("a"), F.greatest("hash", "o.hash").alias("b")).distinct()
+    code = lambda h: F.shiftleft(F.get(level, F.pmod(h, F.lit(CELLS)).cast("int")).cast("bigint"), 40).bitwiseOR(F.shiftrightunsigned(h, 64 - 40))
+    hashed = words.select(*place, F.xxhash64("w").alias("hash"), F.size("w").alias("words"), F.when(F.size("w") >= FUZZY, F.transform("w", lambda x: code(F.xxhash64(x)))).alias("h"))
+    # a line of few distinct words (numbers below 0 stand in for the missing ones) has these in common with its likes
+    first = F.slice(F.concat(F.array_sort(F.array_distinct("h")), F.array(F.lit(-1).cast("bigint"), F.lit(-2).cast("bigint"))), F.lit(1), edits(F.col("words"), similar) + TWO)
+    return hashed.select(*place, "hash", "words", first.alias("rare"))
+
+
+def line_keys(kinds: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """(key, hash, words): pairs of each line's first words, and single ones of a long line's. Both lines of a pair of
+    similar ones have single words' keys if the shorter has LONG words, and pairs' keys if it hasn't."""
+    k = edits(F.col("words"), similar)
+    one = F.when(F.col("words") >= LONG, F.transform(F.slice("rare", F.lit(1), k + 1), lambda x: F.xxhash64(x)))
+    pair = lambda x, i: F.transform(F.slice("rare", F.lit(1), i), lambda y: F.xxhash64(y, x))
+    two = F.when(F.col("words") - k < LONG, F.flatten(F.transform("rare", lambda x, i: F.when(i > 0, pair(x, i)).otherwise(F.array().cast("array<bigint>")))))
+    none = F.array().cast("array<bigint>")
+    return kinds.where("rare is not null").select("hash", "words", F.explode(F.concat(F.coalesce(one, none), F.coalesce(two, none))).alias("key"))
+
+
+def crowded(keys: DataFrame) -> DataFrame:
+    """(key, hash, words, others): the rows of keys that several lines have; others are the first line and the one before."""
+    order = Window.partitionBy("key").orderBy("hash")
+    rows = keys.select("key", "hash", "words", F.first("hash").over(order).alias("one"), F.lag("hash").over(order).alias("before"), F.lead("hash").over(order).alias("after"))
+    return rows.where("before is not null or after is not null").select("key", "hash", "words", F.array("one", "before").alias("others"))
+
+
+def chains(rows: DataFrame) -> DataFrame:
+    """(a, b): each line of a key with the first one and the one before. What these link needn't be compared again."""
+    near = rows.select("hash", F.explode("others").alias("o")).where("o <> hash")
+    return near.select(F.least("hash", "o").alias("a"), F.greatest("hash", "o").alias("b")).distinct()
+
+
+def near_pairs(rows: DataFrame, label: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """(a, b): all pairs of lines that share a key, but those of one group of label (node, component) and those whose
+    numbers of words are further apart than similar lines' can be."""
+    grouped = rows.select("key", "hash", "words").join(label.withColumnRenamed("node", "hash"), "hash", "left").select("key", "hash", "words", F.coalesce("component", "hash").alias("group"))
+    x, y = (grouped.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("hash", "words", "group")]) for s in "ab")
+    apart = F.abs(F.col("words_a") - F.col("words_b")) <= edits(F.greatest("words_a", "words_b"), similar)
+    return x.join(y, "key").where((F.col("hash_a") < F.col("hash_b")) & (F.col("group_a") != F.col("group_b")) & apart).select(F.col("hash_a").alias("a"), F.col("hash_b").alias("b")).distinct()
 
 
 def as_letters(words: Column) -> Column:
@@ -115,22 +146,28 @@ def within_edits(x: Column, y: Column, similar: float) -> Column:
     return (F.abs(nx - ny) <= most) & (F.call_function("levenshtein", x, y, most) >= 0)
 
 
+def linked(pairs: DataFrame, norms: DataFrame, similar: float) -> DataFrame:
+    """The pairs whose lines are similar."""
+    x, y = (norms.select(F.col("hash").alias(h), F.col("norm").alias(n)) for h, n in (("a", "x"), ("b", "y")))
+    return pairs.join(x, "a").join(y, "b").where(within_edits(F.col("x"), F.col("y"), similar)).select("a", "b")
+
+
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
     """(doc, row, gone): the positions of each document's lines that go, because their group's first line stays."""
-    table = materialise(line_table(docs, id_col, text_col), "line-places").where(F.col("words") >= LEAST)
+    table = materialise(line_table(docs, id_col, text_col, similar), "line-places").where(F.col("words") >= LEAST)
     place = F.struct("doc", "row", "at")
-    blocks = [F.min(f"b{k}").alias(f"b{k}") for k in range(BLOCKS)]
-    kinds = materialise(table.groupBy("hash").agg(F.min(place).alias("first"), F.min("words").alias("words"), F.count("*").alias("times"), *blocks), "line-kinds")
-    pairs = materialise(near_pairs(kinds.where("b0 is not null or b1 is not null or b2 is not null")), "line-pairs")
-    # each pair is sent to the first places of its two lines, and comes back with their words
-    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("hash")).join(kinds.select("hash", "first"), "hash")
-    ends = ends.select("a", "b", F.col("first.doc").alias("doc_"), F.col("first.row").alias("row_"), F.col("first.at").alias("at"))
+    kinds = materialise(table.groupBy("hash").agg(F.min(place).alias("first"), F.min("words").alias("words"), F.count("*").alias("times"), F.min("rare").alias("rare")), "line-kinds")
+    keys = materialise(crowded(line_keys(kinds, similar)), "line-keys")
+    # the words of lines that share a key, read once from where a line first is
+    ends = keys.select("hash").distinct().join(kinds.select("hash", "first"), "hash")
+    ends = ends.select("hash", F.col("first.doc").alias("doc_"), F.col("first.row").alias("row_"), F.col("first.at").alias("at"))
     rows = _rows(docs, id_col, text_col)
-    # texts are shuffled whatever the number of pairs, so that a plan that works on a small table is the one at scale
-    found = rows.join(ends.hint("merge"), rows["doc"].eqNullSafe(ends["doc_"]) & (rows["row"] == ends["row_"])).select("a", "b", as_letters(words_of(F.get(F.split("text", "\n"), F.col("at")))).alias("norm"))
-    both = found.groupBy("a", "b").agg(F.min("norm").alias("x"), F.max("norm").alias("y"))
-    links = both.where(within_edits(F.col("x"), F.col("y"), similar)).select("a", "b")
-    label = components(links).withColumnRenamed("node", "hash")
+    # texts are shuffled whatever the number of lines, so that a plan that works on a small table is the one at scale
+    found = rows.join(ends.hint("merge"), rows["doc"].eqNullSafe(ends["doc_"]) & (rows["row"] == ends["row_"])).select("hash", as_letters(words_of(F.get(F.split("text", "\n"), F.col("at")))).alias("norm"))
+    norms = materialise(found.groupBy("hash").agg(F.min("norm").alias("norm")), "line-words")
+    links = materialise(linked(chains(keys), norms, similar), "line-links")
+    more = materialise(linked(near_pairs(keys, components(links), similar), norms, similar), "line-links")
+    label = components(links.union(more)).withColumnRenamed("node", "hash")
     grouped = kinds.join(label, "hash", "left").where("times > 1 or component is not null").withColumn("group", F.coalesce("component", "hash"))
     owner = grouped.groupBy("group").agg(F.min("first").alias("owner"))
     gone = table.join(grouped.select("hash", "group").join(owner, "group").select("hash", "owner"), "hash").where(~place.eqNullSafe(F.col("owner")))

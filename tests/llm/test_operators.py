@@ -344,6 +344,48 @@ def test_line_dedup(spark):
     assert linededup.dedup_lines(empty(spark)).count() == 0
 
 
+def edit_groups(texts):
+    """Groups by brute force: a line's words, all pairs, edit distance in words."""
+    words = [t.split() for t in texts]
+
+    def near(x, y):
+        most = max(1, int(0.1 * max(len(x), len(y)) + 1e-9))
+        if abs(len(x) - len(y)) > most:
+            return False
+        row = list(range(len(y) + 1))
+        for i, a in enumerate(x, 1):
+            last, row = row, [i]
+            for j, b in enumerate(y, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (a != b)))
+        return row[-1] <= most
+
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if group[i] != group[j] and near(words[i], words[j]):
+                old = group[i]
+                group = [group[j] if g == old else g for g in group]
+    return group
+
+
+def first_lines(spark, texts):
+    out = linededup.dedup_lines(table(spark, [(100_000 + k, t) for k, t in enumerate(texts)])).collect()
+    return {r.doc_id - 100_000 for r in out if r.text}
+
+
+def test_line_dedup_finds_all_pairs_of_a_crowded_template(spark):
+    rng = random.Random(9)
+    fill, texts = [f"w{k}" for k in range(30)], []
+    for _ in range(130):
+        slots = [rng.choice(fill) for _ in range(5)]
+        for twin in (0, 1):
+            texts.append(f"the order {slots[0]} of {slots[1]} was sent {slots[2]} by {slots[3]} and {slots[4]} again")
+            slots[rng.randrange(5)] = rng.choice(fill)
+    texts = list(dict.fromkeys(texts))
+    group = edit_groups(texts)
+    assert first_lines(spark, texts) == {group.index(g) for g in set(group)}
+
+
 def test_votes_are_majorities(spark):
     from pyspark.sql import functions as F
 
