@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 from ._graph import components
 from ._tables import materialise
 
-#: Edit similarity (1 - distance / longer length, both in words) from which lines are linked; one edit is always allowed,
-#: more than EDITS aren't at any length.
-SIMILAR, EDITS = 0.9, 64
+#: Edit similarity (1 - distance / longer length, both in words) from which lines are linked; one edit is always allowed.
+SIMILAR = 0.9
 #: Words of a line that can be removed, and of one that is compared with others that aren't equal to it.
 LEAST, FUZZY = 2, 9
 #: Words of a key; lines of LONG words or more have keys of one word, as they have many (and lines close to LONG have both).
@@ -142,7 +141,7 @@ def as_letters(words: Column) -> Column:
 def within_edits(x: Column, y: Column, similar: float) -> Column:
     """Whether the edit similarity reaches the limit; the distance is only followed up to it."""
     nx, ny = F.char_length(x), F.char_length(y)
-    most = F.greatest(F.lit(1), F.least(F.lit(EDITS), F.floor((1 - similar) * F.greatest(nx, ny) + 1e-9).cast("int")))
+    most = edits(F.greatest(nx, ny), similar)
     return (F.abs(nx - ny) <= most) & (F.call_function("levenshtein", x, y, most) >= 0)
 
 

@@ -386,6 +386,22 @@ def test_line_dedup_finds_all_pairs_of_a_crowded_template(spark):
     assert first_lines(spark, texts) == {group.index(g) for g in set(group)}
 
 
+def test_line_dedup_finds_pairs_at_the_limit(spark):
+    rng = random.Random(10)
+    texts = []
+    for n in (20, 50, 100, 145, 155, 300, 700):
+        for _ in range(6):
+            line = [f"v{rng.randrange(4000)}" for _ in range(n)]
+            twin = list(line)
+            for _ in range(n // 10):
+                at, how = rng.randrange(len(twin)), rng.random()
+                twin[at : at + 1] = [] if how < 0.2 else [f"v{rng.randrange(4000)}"]
+            texts += [" ".join(line), " ".join(twin)]
+    group = edit_groups(texts)
+    assert len(set(group)) == len(texts) // 2
+    assert first_lines(spark, texts) == {group.index(g) for g in set(group)}
+
+
 def test_votes_are_majorities(spark):
     from pyspark.sql import functions as F
 
