@@ -23,13 +23,8 @@ HASHES = BANDS * ROWS
 #: Hashes compared at a time; a pair is given up when the posterior probability of its being linked falls below MISS,
 #: and taken for sure in building trees (it is verified all the same) above 1 - MISS.
 BATCH, MISS = 32, 1e-5
-#: Members of a bucket that are compared with each other; a larger bucket is dealt to parts, each with its first PIVOTS.
-PART, PIVOTS = 256, 16
-#: Undecided pairs of a bucket's part: up to FEW a member all are verified; of more, each member's LIKELIEST ones are, and
-#: members of such large groups meet other ones in other buckets.
-FEW, LIKELIEST = 16, 2
-#: Ways in which the members of large buckets are dealt to parts; bands take turns.
-DEALS = 3
+#: Members of a part of a bucket; in a larger bucket each two parts are compared in a cell of their own.
+PART = 256
 #: Pairs of one document that one task verifies.
 STAR = 64
 REMEMBERED = 100_000
@@ -118,8 +113,7 @@ def candidates(sigs: np.ndarray, share: float) -> list[tuple[int, int]]:
     """Pairs of a bucket's members (rows of 8-bit hashes) to verify.
 
     Signatures are compared batch by batch, and pairs pruned after each. Of pairs that are linked for sure a forest is
-    enough, grown from the first members. Undecided pairs between its trees are all verified, if they are not more than
-    FEW a member; else each member's LIKELIEST ones are, the likeliest first, in every bucket that it is in.
+    enough, grown from the first members. Undecided pairs between its trees are all verified.
     """
     m = len(sigs)
     same = np.zeros((m, m), np.int16)
@@ -141,14 +135,7 @@ def candidates(sigs: np.ndarray, share: float) -> list[tuple[int, int]]:
                 tree[tree == tree[j]] = tree[i]
     i, j = np.nonzero(alive & ~sure)
     apart = tree[i] != tree[j]
-    i, j = i[apart], j[apart]
-    if len(i) > FEW * m:
-        one, two = np.concatenate([i, j]), np.concatenate([j, i])
-        order = np.lexsort((two, -same[np.minimum(one, two), np.maximum(one, two)], one))
-        one, two = one[order], two[order]
-        rank = np.arange(len(one)) - np.searchsorted(one, one, "left")
-        i, j = np.minimum(one, two)[rank < LIKELIEST], np.maximum(one, two)[rank < LIKELIEST]
-    return out + sorted({*zip(i.tolist(), j.tolist(), strict=True)})
+    return out + list(zip(i[apart].tolist(), j[apart].tolist(), strict=True))
 
 
 @lean
@@ -199,13 +186,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     """(doc_id, n_shingles, component_id, kept) for each row.
 
     Texts with equal sets count as one; one of them, the smallest id, is hashed to bands. Bands' buckets are compared
-    in parts of bounded size, pairs that survive are verified on full sets, and links are joined to components.
+    in cells of two parts of bounded size, so that all of its members meet; pairs that survive are verified on full sets, and links are joined to components.
 
     Null and empty texts, and those without words, have no shingles and are linked with nothing, as are null ids
     (component null). Rows with equal doc_id are one document, linked if any of their texts is; each gets a row. An
     empty table gives no rows; columns other than the two named are not read. A link at the threshold is missed with a
-    probability of about 1e-5 (one above it with less), and in groups whose members have more than FEW undecided
-    partners each if none of the likeliest ones of any bucket leads there; no two texts are linked that should not be.
+    probability of about 1e-5 (one above it with less); no two texts are linked that should not be. A bucket whose members
+    are neither alike for sure nor apart for sure costs the square of their number.
     """
     short_batches(docs.sparkSession)
     two = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
@@ -216,7 +203,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     members = reps.select("rep", F.posexplode("keys").alias("band", "key")).withColumn("m", F.count("*").over(whole)).withColumn("nth", F.row_number().over(order)).where("m > 1")
     parts = F.ceil(F.col("m") / PART)
-    part = F.when(F.col("nth") <= PIVOTS, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("rep", F.col("band") % DEALS), parts)))
+    own = F.pmod(F.col("nth"), parts)
+    # cell i * parts + j, with i <= j, holds the parts i and j
+    part = F.transform(F.sequence(F.lit(0).cast("bigint"), parts - 1), lambda k: F.least(k, own) * parts + F.greatest(k, own))
     dealt = members.select("key", F.explode(part).alias("part"), "rep").join(reps.select("rep", "sig"), "rep").select("key", "part", "rep", "sig")
     dealt = dealt.repartition("key", "part").sortWithinPartitions("key", "part", "rep")
     pairs = materialise(dealt.mapInArrow(functools.partial(_compare, share=percent / 100), "a bigint, b bigint").where("a <> b").distinct(), "pairs")

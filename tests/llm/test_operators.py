@@ -303,6 +303,16 @@ def test_near_duplicates(spark, rows, monkeypatch):
     assert neardup.near_duplicates(empty(spark)).count() == 0
 
 
+def test_near_duplicates_finds_partners_on_a_shared_template(spark, monkeypatch):
+    docs, common = [], [f"c{k}" for k in range(570)]
+    for k in range(80):  # similarities: 0.740 on the template alone, 0.768 of partners
+        pair = [f"p{k}x{i}" for i in range(12)]
+        docs += [(2 * k + twin, " ".join(common + pair + [f"o{k}x{twin}x{i}" for i in range(88)])) for twin in (0, 1)]
+    monkeypatch.setattr(neardup, "PART", 48)
+    got = neardup.near_duplicates(table(spark, docs), size=1).collect()
+    assert {r.doc_id: r.component_id for r in got} == {k: k - k % 2 for k in range(160)}
+
+
 def test_posterior_bounds():
     least, sure = neardup.posterior_bounds(128, 0.75, 1e-5)
     assert 60 < least < 96 < sure <= 128
