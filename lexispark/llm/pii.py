@@ -30,9 +30,12 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SOME = re.compile(r"[0-9@]")
+SPELLED = re.compile(r"[(\[][Aa][Tt][)\]]")
+#: Lines with a digit, an @ or a spelled-out one: without any, a line holds no entity.
+LINE = re.compile(r"[^\n]*(?:[0-9@]|[(\[][Aa][Tt][)\]])[^\n]*")
 
-#: Tokens of a span at most; tokens of a run that are decoded in one piece (a longer run goes on from the last choice).
-LONGEST, RUN = 6, 400
+#: Tokens of a span at most.
+LONGEST = 6
 #: Generated sentences and passes of training, step and ridge.
 SENTENCES, PASSES, RATE, RIDGE = 600, 8, 0.5, 1e-4
 TOKEN = re.compile(r"[^\s,;:!?\"<>|]+")
@@ -108,35 +111,32 @@ class SemiCRF:
         get = self.weights.get
         return sum(get(f, 0.0) for f in segment_features(tokens, begin, end, kind))
 
+    def spans(self, tokens: list[str], end: int) -> list[tuple[int, str, float]]:
+        """The spans that end there: begin, kind, score. Kinds other than none need a digit or an @, spelled out or not."""
+        mine = [(end - 1, "none", self.score(tokens, end - 1, end, "none"))]
+        for begin in range(max(0, end - LONGEST), end):
+            if any(SOME.search(t) for t in tokens[begin:end]) or any(t.lower() in ("(at)", "[at]") for t in tokens[begin:end]):
+                mine += [(begin, kind, self.score(tokens, begin, end, kind)) for kind in KINDS]
+        return mine
+
     def lattice(self, tokens: list[str]) -> list[list[tuple[int, str, float]]]:
-        """For each end, the spans that end there: begin, kind, score. Kinds other than none need a digit or an @."""
-        out: list[list[tuple[int, str, float]]] = [[]]
-        for end in range(1, len(tokens) + 1):
-            mine = [(end - 1, "none", self.score(tokens, end - 1, end, "none"))]
-            for begin in range(max(0, end - LONGEST), end):
-                if any(SOME.search(t) for t in tokens[begin:end]) or any(t.lower() in ("(at)", "[at]") for t in tokens[begin:end]):
-                    mine += [(begin, kind, self.score(tokens, begin, end, kind)) for kind in KINDS]
-            out.append(mine)
-        return out
+        """For each end, the spans that end there."""
+        return [[], *(self.spans(tokens, end) for end in range(1, len(tokens) + 1))]
 
     def decode(self, tokens: list[str]) -> list[tuple[int, int, str]]:
-        """The best segmentation's entities."""
-        found: list[tuple[int, int, str]] = []
-        for first in range(0, len(tokens), RUN):
-            part = tokens[first : first + RUN]
-            best, back = [0.0], [(0, "none")]
-            for mine in self.lattice(part)[1:]:
-                top = max(((best[b] + s, b, k) for b, k, s in mine), key=lambda x: (x[0], -x[1]))
-                best.append(top[0])
-                back.append(top[1:])
-            at, some = len(part), []
-            while at:
-                begin, kind = back[at]
-                if kind != "none":
-                    some.append((first + begin, first + at, kind))
-                at = begin
-            found += reversed(some)
-        return found
+        """The best segmentation's entities; in time and memory that grow with the run."""
+        best, back = [0.0], [(0, "none")]
+        for end in range(1, len(tokens) + 1):
+            top = max(((best[b] + s, b, k) for b, k, s in self.spans(tokens, end)), key=lambda x: (x[0], -x[1]))
+            best.append(top[0])
+            back.append(top[1:])
+        at, found = len(tokens), []
+        while at:
+            begin, kind = back[at]
+            if kind != "none":
+                found.append((begin, at, kind))
+            at = begin
+        return found[::-1]
 
     def gradient(self, tokens: list[str], truth: set[tuple[int, int, str]]) -> tuple[dict[str, float], float]:
         """Of the log-likelihood, by forward and backward sums over all segmentations; and the log-likelihood."""
@@ -216,12 +216,12 @@ def train(seed: int = 11) -> SemiCRF:
 
 def added_spans(text: str, base: list[Span], model: SemiCRF) -> list[Span]:
     """The field's entities that overlap no base span."""
-    if not SOME.search(text):
+    if not SOME.search(text) and not SPELLED.search(text):
         return []
     out: list[Span] = []
     taken = sorted((b, e) for b, e, _ in base)
     at = -1
-    for line in re.finditer(r"[^\n]*[0-9@][^\n]*", text):
+    for line in LINE.finditer(text):
         run: list[re.Match] = []
         tokens = [*TOKEN.finditer(text, line.start(), line.end())]
         for k, m in enumerate([*tokens, None]):
@@ -230,7 +230,7 @@ def added_spans(text: str, base: list[Span], model: SemiCRF) -> list[Span]:
             if m and (near or candidate(m.group())):
                 run.append(m)
                 continue
-            if run and any(SOME.search(x.group()) or "(at)" in x.group().lower() for x in run):
+            if run and any(SOME.search(x.group()) or SPELLED.search(x.group()) for x in run):
                 for b, e, kind in model.decode([x.group() for x in run]):
                     begin, end = run[b].start(), run[e - 1].end()
                     while end > begin and text[end - 1] in ".":

@@ -470,5 +470,13 @@ def test_field_on_held_out_runs():
     assert like < 0 and grad
 
 
+def test_field_reads_spelled_out_addresses_and_whole_runs():
+    model = pii.train()
+    for text in ("write to john (at) example.com today", "write to john [at] example.com today"):
+        assert [(text[b:e], k) for b, e, k in pii.added_spans(text, [], model)] == [(text[9:-6], "email")]
+    for n in (8, 398):  # a phone number near the 400th token of a run
+        assert model.decode(["12"] * n + ["+1", "(269)", "555-3296"] + ["12"] * 5)[-1] == (n, n + 3, "phone")
+
+
 def test_hash_digest():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
