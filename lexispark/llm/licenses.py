@@ -33,6 +33,8 @@ TEMPLATES = [
 ]
 #: Share of a template's distinct words that a block must hold; words of a block and its step within longer lines.
 CONTAINED, BLOCK, STEP = 0.8, 200, 100
+#: Words over which a notice may be spread across lines, times its own.
+SPREAD = 2
 
 FOUND = "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double"
 
@@ -55,6 +57,7 @@ class TemplateIndex:
             for p, w in enumerate(s[: len(s) - self.least[t] + 1]):
                 self.postings.setdefault(w, []).append((t, p))
         self.probe = frozenset(self.postings)
+        self.reach = [SPREAD * len(_words(text.encode())) for _, text in templates]
 
     def matches(self, block: set[bytes]) -> dict[int, float]:
         """Containment of each template that the block holds. Words outside the templates come last in the order, so
@@ -77,6 +80,28 @@ class TemplateIndex:
         return out
 
 
+    def wrapped(self, words: list[bytes]) -> dict[int, float]:
+        """Containment of each template in the best run of words SPREAD times as long as it, wherever lines end."""
+        held, out = set(words) & self.place.keys(), {}
+        for t, s in enumerate(self.sets):
+            if sum(x in held for x in s) < self.least[t]:
+                continue
+            own, inside, best, first = frozenset(s), Counter(), 0, 0
+            at = [k for k, w in enumerate(words) if w in own]
+            for k in at:
+                inside[words[k]] += 1
+                while k - at[first] >= self.reach[t]:
+                    w = words[at[first]]
+                    inside[w] -= 1
+                    if not inside[w]:
+                        del inside[w]
+                    first += 1
+                best = max(best, len(inside))
+            if best >= self.least[t]:
+                out[t] = best / len(s)
+        return out
+
+
 def blocks_of(raw: bytes) -> Iterator[list[bytes]]:
     """Lines; a line of more than BLOCK words as windows of BLOCK words, STEP apart."""
     for line in raw.split(b"\n"):
@@ -119,8 +144,8 @@ def _scan(batches: Iterable[pa.RecordBatch], index: TemplateIndex, phrases: dict
                         pass
             best, labels = float(bool(base)), set(base)
             if not index.probe.isdisjoint(words):
-                for block in blocks_of(raw):
-                    for t, share in index.matches(set(block)).items():
+                for found in (index.wrapped(words), *(index.matches(set(block)) for block in blocks_of(raw))):
+                    for t, share in found.items():
                         labels.add(index.labels[t])
                         best = max(best, share)
             rows.append((doc, len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), best))
@@ -132,7 +157,7 @@ _TYPES = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.float64()]
 
 
 def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, phrases: dict[str, str] = PHRASES, contained: float = CONTAINED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """FOUND for each row: places of the phrases, and labels of all templates contained in a block of the text.
+    """FOUND for each row: places of the phrases, and labels of all templates contained in a block of the text or in a short run of its words.
 
     The words of the templates are ordered by how many documents of the whole corpus hold them; the templates are a
     fixed list, so their index goes to every task. score is 1 for a phrase, else the best containment, else 0. Null

@@ -135,6 +135,14 @@ def test_licenses(spark, rows):
 
 
 # --- 4
+def test_licenses_wrapped_over_lines(spark):
+    text = licenses.TEMPLATES[1][1].split(" ")
+    wrapped = "some code\n" + "\n".join(" ".join(text[k : k + 8]) for k in range(0, len(text), 8)) + "\nmore code"
+    apart = "\n".join(f"{w} " + "filler " * 40 for w in text)
+    out = {r.doc_id: (r.labels, r.score) for r in licenses.license_scan(table(spark, [(1, wrapped), (2, apart), (3, "licensed under the\nApache License, version 2.0")])).collect()}
+    assert out[1] == ("mit", 1.0) and out[2] == ("", 0.0) and out[3][0] == "apache"
+
+
 def test_topk(spark):
     rng = np.random.default_rng(5)
     data = [(int(k), [float(x) for x in rng.normal(0, 0.2, 6).astype(np.float32)]) for k in range(300)]
