@@ -126,15 +126,14 @@ def near_clones(t):
 
 @query()
 def word_errors(t):
-    return _pairs(t).where("j = i + 1").select("conv_id", "i", F.round(C.wer(F.substring("x", 1, 400), F.substring("y", 1, 400)), 9).alias("wer"))
+    return _pairs(t).where("j = i + 1").select("conv_id", "i", F.round(C.wer(F.col("x"), F.col("y")), 9).alias("wer"))
 
 
 @query()
 def term_presence(t):
     term = F.regexp_extract("text", r"(\p{L}{5,})", 1)
     twisted = F.concat(F.substring(term, 1, 4), F.lit("x"), F.substring(term, 6, 20))
-    head = F.substring("text", 1, 200)
-    return t.conversations.where(term != "").select("conv_id", "turn", C.presence(term, head).alias("own"), C.presence(twisted, head).alias("twisted"))
+    return t.conversations.where(term != "").select("conv_id", "turn", C.presence(term, F.col("text")).alias("own"), C.presence(twisted, F.col("text")).alias("twisted"))
 
 
 @query()
@@ -166,10 +165,10 @@ def ngram_counts(t):
 @query()
 def mine_rules(t):
     words = F.filter(rules.key_words(F.col("text")), lambda w: F.char_length(w) > 5)
-    target = t.documents.where("doc_id % 5 = 0").select("doc_id", F.get(words, F.lit(0)).alias("target")).where("target is not null")
+    target = t.documents.select("doc_id", F.get(words, F.lit(0)).alias("target")).where("target is not null")
     evidence = target.select(F.regexp_replace("target", "^(...)", "$1y").alias("variant"), "target").groupBy("variant", "target").agg(F.count("*").alias("count")).withColumn("clips", F.col("count"))
     empty = t.spark.createDataFrame([], "word string, zipf double")
-    return rules.mine(evidence, t.documents.where("doc_id % 5 = 1").select("text"), t.documents.where("doc_id % 5 = 2").select("text"), empty.select("word"), empty)
+    return rules.mine(evidence, t.documents.select("text"), t.documents.select("text"), empty.select("word"), empty)
 
 
 @query()
@@ -222,5 +221,4 @@ def slugs(t):
 @query()
 def align_defects(t):
     heard = F.concat(F.lit("voici donc "), F.regexp_replace("text", r"^(\S+ \S+ )\S+ \S+ \S+ \S+ \S+ \S+ ", "$1"))
-    head = F.substring("text", 1, 300)
-    return t.conversations.select("conv_id", "turn", F.array_join(C.defects(head, F.substring(heard, 1, 300), F.lit("")), ";").alias("defects"))
+    return t.conversations.select("conv_id", "turn", F.array_join(C.defects(F.col("text"), heard, F.lit("")), ";").alias("defects"))

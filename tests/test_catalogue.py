@@ -67,6 +67,16 @@ def test_query(spark, tables, name):
     assert got == sorted_rows(want.columns, want.fetchall())
 
 
+def test_queries_read_whole_texts_and_all_ids(spark, tmp_path):
+    long = "alpha beta gamma " * 40
+    spark.createDataFrame([(1, 1, "user", long + "delta."), (1, 2, "user", long + "omega.")], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    spark.createDataFrame([(k, f"xx zyxwvu{'abcde'[k % 5]} here") for k in range(100, 105)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    run = lambda name: QUERIES[name](spark, str(tmp_path)).collect()
+    assert run("word_errors")[0].wer > 0
+    assert len(run("casing_lexicon")) == 5
+    assert len(run("mine_rules")) == 5
+
+
 def test_entry_registers_everything():
     assert set(QUERIES) <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
