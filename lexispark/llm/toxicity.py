@@ -19,9 +19,8 @@ WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 #: Besides itself a word has its beginnings of so many characters as features, as insults are inflected.
 BEGINNINGS = (4, 5, 6, 7)
 #: Labelled rows that the model is fitted on at most (those with the smallest hashes of doc_id), the features it keeps,
-#: documents of the sample that one must be in, standard errors by which it must be commoner in toxic ones, and
-#: words of a text that are read for fitting (scores read whole texts).
-ROWS, VOCABULARY, LEAST, APART, READ = 12_000, 3_000, 5, 4.0, 4_000
+#: documents of the sample that one must be in, and standard errors by which it must be commoner in toxic ones.
+ROWS, VOCABULARY, LEAST, APART = 12_000, 3_000, 5, 4.0
 #: Words whose features a worker remembers.
 REMEMBERED = 100_000
 #: Severity grades 0 to GRADES - 1; a text whose expected severity reaches REJECT is toxic.
@@ -36,7 +35,7 @@ def features(word: bytes) -> list[str]:
 
 def _bag(raw: bytes | None) -> Counter:
     bag: Counter = Counter()
-    for w, n in Counter(WORD.findall((raw or b"").lower())[:READ]).items():
+    for w, n in Counter(m.group() for m in WORD.finditer((raw or b"").lower())).items():
         for f in features(w):
             bag[f] += n
     return bag
@@ -131,7 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fits on at most ROWS labelled rows, chosen by a hash of the id; rows without a label or id are left out."""
     mine = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("toxic")).where("_id is not null and toxic is not null")
     mine = mine.groupBy("_id").agg((F.max("toxic") > 0).cast("int").alias("toxic")).orderBy(F.xxhash64("_id"), "_id").limit(ROWS)
-    text = docs.select(F.col(id_col).alias("_id"), F.substring(F.col(text_col).cast("string"), 1, 8 * READ).cast("binary").alias("text"))
+    text = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     some = materialise(text.join(mine, "_id").select("toxic", "text").distinct(), "toxic-sample")  # copies count once
     n, hot = some.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     share = hot / n if n else 0

@@ -240,6 +240,14 @@ def vocabulary():
     return token_counts.read_vocabulary(P.path("byte_bpe_50k.json"))
 
 
+def test_toxicity_reads_whole_texts_for_fitting(spark):
+    assert toxicity._bag(b"plain " * 5000 + b"insult")["insult"] == 1
+    docs = [(k, "plain words " * 3000 + ("vile insults" if k % 2 else "kind wishes") + f" n{k}") for k in range(60)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
+    weights = toxicity.train(table(spark, docs), labels).weights
+    assert weights.get("insults", 0) > 0 and weights.get("wishes", 0) == 0
+
+
 def test_token_counts(spark, rows, vocabulary):
     from tokenizers import Tokenizer
 
