@@ -1,15 +1,17 @@
-"""Fuzzy line dedup by DataFrame functions alone: rare words' pairs, edit similarity, components.
-
-Lines within k edits (in words) of each other lose at most k distinct words each. So in any order of all words, the first
-k + TWO distinct words of either have TWO in common (the prefix filter of set-similarity joins), and lines meet by joining
-on pairs of these; long lines, on single ones of the first k + 1. The order is by rarity in a sample of the documents,
-which decides how many lines meet by chance but not which similar ones do: every pair at the limit is a candidate. All
-candidates are verified by edit similarity, but those whose lines are in one group already.
+"""Fuzzy line dedup by DataFrame functions alone: SimHash blocks, pigeonhole join, edit similarity, components.
+
+A SimHash adds up random vectors of a line's words. Here each word's vector lies in one of a line's blocks of coordinates
+(a sparse projection), so that an edit of one word moves at most two blocks, and of 2 k + 1 blocks k edits leave one as it
+was: lines within k edits meet by joining on (block, value). Blocks are only tested for equality, so their totals are
+compared and not the totals' signs, which would only merge values, more and more of them as the table grows. A line whose
+empty blocks could be all that is left has its first k + 1 distinct words as keys too. So every pair at the limit is a
+candidate. Candidates whose parities of words in 64 cells differ in more than two cells an edit are further apart than the
+limit and go at once; the others are verified by edit similarity, but those whose lines are in one group already.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,18 +23,12 @@ from ._tables import materialise
 SIMILAR = 0.9
 #: Words of a line that can be removed, and of one that is compared with others that aren't equal to it.
 LEAST, FUZZY = 2, 9
-#: Words of a key; lines of LONG words or more have keys of one word, as they have many (and lines close to LONG have both).
-TWO, LONG = 2, 150
-#: Words' hashes are counted in so many cells, over one in SAMPLE documents.
-CELLS, SAMPLE = 1 << 13, 16
-#: Bits of a majority vote.
-BITS = 28
-#: Documents with lines to remove up to which their table is broadcast; a larger one is joined by a shuffle.
-SMALL = 500_000
-
-
-def _long(value: int) -> Column:
-    return F.lit(value - (1 << 64) if value >= 1 << 63 else value).cast("bigint")
+#: Lines are blocked for each number of edits up to STEPS, then for numbers that grow by GROWTH.
+STEPS, GROWTH = 8, 1.25
+#: Lines of a part of a key; of a larger key each two parts are compared in a cell of their own.
+PART = 1024
+#: Lines that have more than one in HEAVY of all places (fewer than HEAVY lines, so) are joined by broadcast.
+HEAVY = 4096
 
 
 def words_of(line: Column) -> Column:
@@ -41,94 +37,109 @@ def words_of(line: Column) -> Column:
     return F.array_remove(F.split(F.lower(line), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
-def votes(hashes: Column, width: int) -> Column:
-    """The majority of words' hash bits: BITS of them, counted in lanes of width bits of a few numbers (the top
-    lane stays free, so that no sum overflows). Adding half the lane less half the words carries into a lane's top bit
-    if and only if more than half have the bit."""
-    lanes, half = 64 // width - 1, (1 << (width - 1)) - 1
-    ones = sum(1 << (width * k) for k in range(lanes))
-    rest = _long(ones) * (F.lit(half) - F.floor(F.size(hashes) / 2)).cast("bigint")
-
-    def bits(k: int) -> Column:
-        total = F.aggregate(hashes, _long(0), lambda a, h: a + F.shiftrightunsigned(h, k).bitwiseAND(_long(ones)))
-        top = F.shiftrightunsigned((total + rest).bitwiseAND(_long(ones << (width - 1))), width - 1)
-        return F.shiftleft(top, k)
-
-    return reduce(lambda a, b: a.bitwiseOR(b), map(bits, range(-(-BITS // lanes))))
-
-
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Row keys and texts: rows equal in id and text are one document."""
     text = F.col(text_col).cast("string")
     return docs.select(F.col(id_col).cast("string").alias("doc"), F.xxhash64(F.col(id_col), text).alias("row"), text.alias("text"))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= SMALL else df
-
-
 def edits(words: Column, similar: float) -> Column:
     """Edits that a line of so many words may be away from one that isn't longer."""
     return F.greatest(F.lit(1), F.floor((1 - similar) * words + 1e-9).cast("int"))
 
 
-def rarity(docs: DataFrame, text_col: str = "text") -> Column:
-    """CELLS numbers that grow with how often the words of a cell occur in a sample of the documents: a bounded table,
-    by which words are put in order and nothing else."""
-    text = F.col(text_col).cast("string")
-    some = docs.select(text.alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
-    cells = some.select(F.explode(words_of(F.col("text"))).alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(CELLS)).alias("cell")).agg(F.count("*").alias("n"))
-    level = [0] * CELLS
-    for r in cells.collect():
-        level[r["cell"]] = r["n"].bit_length()
-    return F.split(F.lit(",".join(map(str, level))), ",").cast("array<int>")
+def level(k: Column) -> Column:
+    """The number of edits that pairs at k edits are blocked for. A line's own level and those of all longer lines that
+    are similar to it are at most two, as these lines' edits are fewer than GROWTH times its own."""
+    up = F.ceil(F.log(k / F.lit(float(STEPS))) / F.lit(math.log(GROWTH)) - 1e-9)
+    return F.when(k <= STEPS, k).otherwise(F.ceil(STEPS * F.pow(F.lit(GROWTH), up) - 1e-6).cast("int"))
+
+
+def block_keys(hashes: Column, edits_: Column) -> Column:
+    """A key for each block that holds words, by its number and its total (as two sums of 32-bit halves, which can't
+    overflow). hashes are sorted, and blocks are ranges of them."""
+    n, none = (2 * edits_ + 1).cast("bigint"), F.lit(0).cast("bigint")
+
+    def closed(a: Column) -> Column:
+        return F.when(a["at"] < 0, a["keys"]).otherwise(F.concat(a["keys"], F.array(F.xxhash64(n, a["at"], a["high"], a["low"]))))
+
+    def step(a: Column, x: Column) -> Column:
+        at = F.shiftright((F.shiftright(x, 33) + F.lit(1 << 30)) * n, 31)
+        same = a["at"] == at
+        total = lambda name, part: (F.when(same, a[name]).otherwise(none) + part).alias(name)
+        return F.struct(F.when(same, a["keys"]).otherwise(closed(a)).alias("keys"), at.alias("at"), total("high", F.shiftright(x, 32)), total("low", x.bitwiseAND(F.lit(0xFFFFFFFF))))
+
+    start = F.struct(F.array().cast("array<bigint>").alias("keys"), F.lit(-1).cast("bigint").alias("at"), none.alias("high"), none.alias("low"))
+    return F.aggregate(hashes, start, step, closed)
 
 
 def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
-    """(doc, row, at, hash, words, rare): each line, the hash of its words, how many they are, and for lines of FUZZY
-    words the codes of its first distinct words in order. All in one pass without a shuffle; short lines are left out by
-    the reader of the table, since a filter here would be pushed down and cut every line into words once more."""
-    place, level = ("doc", "row", "at"), rarity(docs, text_col)
+    """(doc, row, at, hash, words, parity, keys): each line, the hash of its words, how many they are, and for lines of
+    FUZZY words the parity of words in 64 cells and the keys to join on. All in one pass without a shuffle; short lines
+    are left out by the reader of the table, since a filter here would be pushed down and cut every line into words once
+    more."""
+    place = ("doc", "row", "at", "hash", "words")
     lines = _rows(docs, id_col, text_col).select("doc", "row", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    words = lines.select(*place, words_of(F.col("line")).alias("w"))
-    code = lambda h: F.shiftleft(F.get(level, F.pmod(h, F.lit(CELLS)).cast("int")).cast("bigint"), 40).bitwiseOR(F.shiftrightunsigned(h, 64 - 40))
-    hashed = words.select(*place, F.xxhash64("w").alias("hash"), F.size("w").alias("words"), F.when(F.size("w") >= FUZZY, F.transform("w", lambda x: code(F.xxhash64(x)))).alias("h"))
-    # a line of few distinct words (numbers below 0 stand in for the missing ones) has these in common with its likes
-    first = F.slice(F.concat(F.array_sort(F.array_distinct("h")), F.array(F.lit(-1).cast("bigint"), F.lit(-2).cast("bigint"))), F.lit(1), edits(F.col("words"), similar) + TWO)
-    return hashed.select(*place, "hash", "words", first.alias("rare"))
-
-
-def line_keys(kinds: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """(key, hash, words): pairs of each line's first words, and single ones of a long line's. Both lines of a pair of
-    similar ones have single words' keys if the shorter has LONG words, and pairs' keys if it hasn't."""
-    k = edits(F.col("words"), similar)
-    one = F.when(F.col("words") >= LONG, F.transform(F.slice("rare", F.lit(1), k + 1), lambda x: F.xxhash64(x)))
-    pair = lambda x, i: F.transform(F.slice("rare", F.lit(1), i), lambda y: F.xxhash64(y, x))
-    two = F.when(F.col("words") - k < LONG, F.flatten(F.transform("rare", lambda x, i: F.when(i > 0, pair(x, i)).otherwise(F.array().cast("array<bigint>")))))
-    none = F.array().cast("array<bigint>")
-    return kinds.where("rare is not null").select("hash", "words", F.explode(F.concat(F.coalesce(one, none), F.coalesce(two, none))).alias("key"))
-
-
-def crowded(keys: DataFrame) -> DataFrame:
-    """(key, hash, words, others): the rows of keys that several lines have; others are the first line and the one before."""
+    words = lines.select("doc", "row", "at", words_of(F.col("line")).alias("w"))
+    hashed = words.select("doc", "row", "at", F.xxhash64("w").alias("hash"), F.size("w").alias("words"), F.when(F.size("w") >= FUZZY, F.sort_array(F.transform("w", lambda x: F.xxhash64(x)))).alias("h"))
+    longest = F.floor(F.col("words") / similar + 1e-9)
+    # the level of the line's own edits, and the one of the longest line that is similar to it
+    levels = hashed.select(*place, "h", level(edits(F.col("words"), similar)).alias("k"), level(edits(longest, similar)).alias("k2"))
+    parity = F.aggregate("h", F.lit(0).cast("bigint"), lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63)).cast("int"))))
+    blocks = levels.select(*place, "h", "k", "k2", parity.alias("parity"), block_keys(F.col("h"), F.col("k")).alias("one"), F.when(F.col("k2") > F.col("k"), block_keys(F.col("h"), F.col("k2"))).alias("two"))
+
+    def whole(keys: str, k: str) -> Column:
+        first = F.transform(F.slice(F.array_distinct("h"), F.lit(1), F.col(k) + 1), lambda x: F.xxhash64(F.col(k), x))
+        return F.when(F.size(keys) <= 2 * F.col(k), F.concat(keys, first)).otherwise(F.col(keys))
+
+    keys = F.when(F.col("two").isNull(), whole("one", "k")).otherwise(F.concat(whole("one", "k"), whole("two", "k2")))
+    return blocks.select(*place, "parity", keys.alias("keys"))
+
+
+def crowded(table: DataFrame) -> DataFrame:
+    """(key, hash, nth, others): the different lines of keys that several have, numbered; others are the first line and
+    the one before."""
+    once = table.where("keys is not null").groupBy("hash").agg(F.first("keys").alias("keys"))
     order = Window.partitionBy("key").orderBy("hash")
-    rows = keys.select("key", "hash", "words", F.first("hash").over(order).alias("one"), F.lag("hash").over(order).alias("before"), F.lead("hash").over(order).alias("after"))
-    return rows.where("before is not null or after is not null").select("key", "hash", "words", F.array("one", "before").alias("others"))
+    keys = once.select("hash", F.explode(F.array_distinct("keys")).alias("key"))
+    rows = keys.select("key", "hash", F.row_number().over(order).alias("nth"), F.first("hash").over(order).alias("one"), F.lag("hash").over(order).alias("before"), F.lead("hash").over(order).alias("after"))
+    return rows.where("before is not null or after is not null").select("key", "hash", "nth", F.array("one", "before").alias("others"))
+
 
+def _may_link(similar: float) -> Column:
+    """Whether two lines' numbers of words and parities let them be similar."""
+    most = edits(F.greatest("words_a", "words_b"), similar)
+    return (F.abs(F.col("words_a") - F.col("words_b")) <= most) & (F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) <= 2 * most)
 
-def chains(rows: DataFrame) -> DataFrame:
+
+def _sided(df: DataFrame, side: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    return df.select(*keep, *[F.col(c).alias(f"{c}_{side}") for c in df.columns if c not in keep])
+
+
+def chains(keys: DataFrame, kinds: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """(a, b): each line of a key with the first one and the one before. What these link needn't be compared again."""
-    near = rows.select("hash", F.explode("others").alias("o")).where("o <> hash")
-    return near.select(F.least("hash", "o").alias("a"), F.greatest("hash", "o").alias("b")).distinct()
+    near = keys.select("hash", F.explode("others").alias("o")).where("o <> hash")
+    pairs = near.select(F.least("hash", "o").alias("hash_a"), F.greatest("hash", "o").alias("hash_b")).distinct()
+    facts = kinds.select("hash", "words", "parity")
+    both = pairs.join(_sided(facts, "a"), "hash_a").join(_sided(facts, "b"), "hash_b")
+    return both.where(_may_link(similar)).select(F.col("hash_a").alias("a"), F.col("hash_b").alias("b"))
 
 
-def near_pairs(rows: DataFrame, label: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """(a, b): all pairs of lines that share a key, but those of one group of label (node, component) and those whose
-    numbers of words are further apart than similar lines' can be."""
-    grouped = rows.select("key", "hash", "words").join(label.withColumnRenamed("node", "hash"), "hash", "left").select("key", "hash", "words", F.coalesce("component", "hash").alias("group"))
-    x, y = (grouped.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("hash", "words", "group")]) for s in "ab")
-    apart = F.abs(F.col("words_a") - F.col("words_b")) <= edits(F.greatest("words_a", "words_b"), similar)
-    return x.join(y, "key").where((F.col("hash_a") < F.col("hash_b")) & (F.col("group_a") != F.col("group_b")) & apart).select(F.col("hash_a").alias("a"), F.col("hash_b").alias("b")).distinct()
+def near_pairs(keys: DataFrame, kinds: DataFrame, label: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """(a, b): all pairs of lines that share a key and may be similar, but those of one group of label (node, component).
+
+    The lines of a key meet in cells of two parts of at most PART lines, so a key of many lines is spread over tasks.
+    """
+    facts = kinds.select("hash", "words", "parity").join(label.withColumnRenamed("node", "hash"), "hash", "left").select("hash", "words", "parity", F.coalesce("component", "hash").alias("group"))
+    large = keys.groupBy("key").agg(F.ceil(F.count("*") / PART).alias("parts")).where("parts > 1")
+    parts = F.coalesce("parts", F.lit(1).cast("bigint"))
+    dealt = keys.select("key", "hash", "nth").join(large, "key", "left").select("key", "hash", parts.alias("parts"), F.pmod("nth", parts).alias("part"))
+    dealt = dealt.join(facts, "hash")
+    cell = lambda k: F.least(k, F.col("part")) * F.col("parts") + F.greatest(k, F.col("part"))
+    cells = dealt.select("key", "hash", "words", "parity", "group", "part", F.explode(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1), cell)).alias("cell"), (F.col("part") * F.col("parts") + F.col("part")).alias("own"))
+    both = _sided(cells, "a", ("key", "cell")).join(_sided(cells, "b", ("key", "cell")), ["key", "cell"])
+    once = (F.col("part_a") != F.col("part_b")) | (F.col("cell") == F.col("own_a"))  # lines of one part meet in its own cell
+    return both.where((F.col("hash_a") < F.col("hash_b")) & (F.col("group_a") != F.col("group_b")) & once & _may_link(similar)).select(F.col("hash_a").alias("a"), F.col("hash_b").alias("b")).distinct()
 
 
 def as_letters(words: Column) -> Column:
@@ -155,8 +166,8 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(doc, row, gone): the positions of each document's lines that go, because their group's first line stays."""
     table = materialise(line_table(docs, id_col, text_col, similar), "line-places").where(F.col("words") >= LEAST)
     place = F.struct("doc", "row", "at")
-    kinds = materialise(table.groupBy("hash").agg(F.min(place).alias("first"), F.min("words").alias("words"), F.count("*").alias("times"), F.min("rare").alias("rare")), "line-kinds")
-    keys = materialise(crowded(line_keys(kinds, similar)), "line-keys")
+    kinds = materialise(table.groupBy("hash").agg(F.min(place).alias("first"), F.min("words").alias("words"), F.count("*").alias("times"), F.min("parity").alias("parity")), "line-kinds")
+    keys = materialise(crowded(table.select("hash", "keys")), "line-keys")
     # the words of lines that share a key, read once from where a line first is
     ends = keys.select("hash").distinct().join(kinds.select("hash", "first"), "hash")
     ends = ends.select("hash", F.col("first.doc").alias("doc_"), F.col("first.row").alias("row_"), F.col("first.at").alias("at"))
@@ -164,30 +175,35 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # texts are shuffled whatever the number of lines, so that a plan that works on a small table is the one at scale
     found = rows.join(ends.hint("merge"), rows["doc"].eqNullSafe(ends["doc_"]) & (rows["row"] == ends["row_"])).select("hash", as_letters(words_of(F.get(F.split("text", "\n"), F.col("at")))).alias("norm"))
     norms = materialise(found.groupBy("hash").agg(F.min("norm").alias("norm")), "line-words")
-    links = materialise(linked(chains(keys), norms, similar), "line-links")
-    more = materialise(linked(near_pairs(keys, components(links), similar), norms, similar), "line-links")
+    links = materialise(linked(chains(keys, kinds, similar), norms, similar), "line-links")
+    more = materialise(linked(near_pairs(keys, kinds, components(links), similar), norms, similar), "line-links")
     label = components(links.union(more)).withColumnRenamed("node", "hash")
     grouped = kinds.join(label, "hash", "left").where("times > 1 or component is not null").withColumn("group", F.coalesce("component", "hash"))
     owner = grouped.groupBy("group").agg(F.min("first").alias("owner"))
-    gone = table.join(grouped.select("hash", "group").join(owner, "group").select("hash", "owner"), "hash").where(~place.eqNullSafe(F.col("owner")))
+    owned = materialise(grouped.select("hash", "times", "group").join(owner, "group").select("hash", "times", "owner"), "line-owners")
+    total = kinds.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0]
+    places, often = table.select("doc", "row", "at", "hash"), F.col("times") * HEAVY > total
+    heavy = F.broadcast(owned.where(often).select("hash", "owner"))
+    rest = places.join(heavy.select("hash"), "hash", "left_anti").join(owned.where(~often).select("hash", "owner"), "hash")
+    gone = places.join(heavy, "hash").unionByName(rest).where(~place.eqNullSafe(F.col("owner")))
     return gone.groupBy("doc", "row").agg(F.collect_set("at").alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
     """docs with repeated lines taken out of their texts, and _n_lines and _n_gone beside.
 
-    Lines are equal when their words are, and linked when these differ by few edits; of each connected
-    group over the whole table the first line stays, by id (as a string), row and position. Lines of fewer than LEAST
-    words stay. Null and empty texts stay as they are; a text may become empty, but no row goes. Rows equal in id and
-    text are one document and come out alike; null ids sort first; an empty table gives no rows. Columns of docs
-    stay, except those beginning with _n_ or named _doc, _row and _gone.
+    Lines are equal when their words are, and linked when these differ by few edits; of each connected group over the
+    whole table the first line stays, by id (as a string), row and position. Lines of fewer than LEAST words stay, and
+    lines of fewer than FUZZY words are in a group with equal ones only. Words are compared by hashes of 20 bits when
+    edits are counted and of 64 bits otherwise. Null and empty texts stay as they are; a text may become empty, but no row
+    goes. Rows equal in id and text are one document and come out alike; null ids sort first; an empty table gives no
+    rows. Columns of docs stay, except those beginning with _n_ or named _doc, _row and _gone.
     """
     own = docs.drop("_n_lines", "_n_gone", "_doc", "_row", "_gone")
     gone = materialise(removed_lines(docs, id_col, text_col, similar).select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("gone").alias("_gone")), "line-gone")
     text = F.col(text_col).cast("string")
     keyed = own.withColumn("_k", F.xxhash64(F.col(id_col), text))
-    gone = _small(gone)
-    joined = keyed.join(gone, (keyed["_k"] == gone["_row"]) & F.col(id_col).cast("string").eqNullSafe(gone["_doc"]), "left")
+    joined = keyed.join(gone.hint("merge"), (keyed["_k"] == gone["_row"]) & F.col(id_col).cast("string").eqNullSafe(gone["_doc"]), "left")
     lines = F.split(text, "\n")
     kept = F.array_join(F.filter(lines, lambda _, k: ~F.array_contains("_gone", k)), "\n")
     return joined.select(*[F.when(F.col("_gone").isNull(), text).otherwise(kept).alias(c) if c == text_col else F.col(c) for c in own.columns], F.coalesce(F.when(text.isNotNull(), F.size(lines)), F.lit(0)).alias("_n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).alias("_n_gone"))

@@ -428,20 +428,44 @@ def test_line_dedup_finds_pairs_at_the_limit(spark):
     assert first_lines(spark, texts) == {group.index(g) for g in set(group)}
 
 
-def test_votes_are_majorities(spark):
+def test_line_dedup_joins_lines_that_are_two_words_from_one(spark):
+    rng, base, texts = random.Random(1), [f"b{k}" for k in range(30)], []
+    for _ in range(300):
+        line = list(base)
+        for at in rng.sample(range(30), 2):
+            line[at] = f"z{rng.randrange(10**6)}"
+        texts.append(" ".join(line))
+    assert len(first_lines(spark, texts)) == len(set(edit_groups(texts))) == 1
+
+
+@pytest.mark.parametrize("part", [1024, 7])
+def test_line_keys_hold_every_pair_at_the_limit(spark, monkeypatch, part):
+    """Random groups of lines over few words, with repeated ones: the groups are those by brute force."""
+    monkeypatch.setattr(linededup, "PART", part)
+    rng, texts = random.Random(13), []
+    for n in (9, 10, 12, 18, 19, 27, 39, 45, 59, 63, 89, 95, 109):
+        few = [f"u{k}" for k in range(rng.choice([3, 12, 400]))]
+        base = [rng.choice(few) for _ in range(n)]
+        for _ in range(9):
+            line = list(base)
+            for _ in range(rng.choice([0, 1, max(1, n // 10), n // 9 + 1])):
+                at, how = rng.randrange(len(line)), rng.random()
+                line[at : at + 1] = [] if how < 0.3 else [line[at], rng.choice(few)] if how < 0.5 else [rng.choice(few)]
+            texts.append(" ".join(line))
+    texts = [t for t in dict.fromkeys(texts) if len(t.split()) >= linededup.FUZZY]
+    group = edit_groups(texts)
+    assert first_lines(spark, texts) == {group.index(g) for g in set(group)}
+
+
+def test_levels_are_at_most_two(spark):
     from pyspark.sql import functions as F
 
-    rng = random.Random(2)
-    lists = [[rng.getrandbits(64) - (1 << 63) for _ in range(n)] for n in (1, 2, 3, 9, 126, 127, 128, 400)]
-    df = spark.createDataFrame([(k, x) for k, x in enumerate(lists)], "k int, h array<long>")
-    for width in (8, 16):
-        for r in df.where(F.size("h") < (128 if width == 8 else 1 << 15)).select("k", linededup.votes(F.col("h"), width).alias("v")).collect():
-            h, lanes = lists[r.k], 64 // width - 1
-            for bit in range(-(-linededup.BITS // lanes)):
-                for lane in range(lanes):
-                    at = width * lane + bit
-                    ones = sum((x >> at) & 1 for x in h)
-                    assert (r.v >> at) & 1 == (ones > len(h) // 2), (width, r.k, at)
+    rows = spark.range(9, 3000).select("id", *[linededup.level(linededup.edits(n, 0.9)).alias(c) for c, n in (("own", F.col("id")), ("most", F.floor(F.col("id") / 0.9 + 1e-9)))]).collect()
+    of = {r.id: r.own for r in rows}
+    edits = lambda n: max(1, int(0.1 * n + 1e-9))
+    for r in rows[:-400]:
+        longer = [m for m in range(r.id, r.id + r.id // 8 + 3) if m - edits(m) <= r.id]
+        assert {of[m] for m in longer} <= {r.own, r.most}, r
 
 
 # --- 10
