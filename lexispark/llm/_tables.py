@@ -15,11 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; a local folder is set only where the session has none (tests)."""
+    """The session's spark.checkpoint.dir; a local folder is set only where the session has none and runs on one
+    machine (tests)."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     have = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not base and have.isDefined():
+        base = have.get()
     if not base:
-        base = have.get() if have.isDefined() else "file://" + tempfile.mkdtemp(prefix="lexispark-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="lexispark-")
     if not have.isDefined():
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
@@ -48,10 +53,17 @@ def short_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, rows)
 
 
+def forget(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of intermediate tables when the driver ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """df written once as Parquet in the shared folder and read again: it cuts the lineage, outlives a lost
     executor, and what a task numbered (chunk ids) never changes in a later attempt."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    forget(spark, path)
     return spark.read.schema(df.schema).parquet(path)

@@ -66,7 +66,7 @@ def base_spans(text: str) -> list[Span]:
             end = m.end()
         at = text.find("@", at + 1)
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in (x.lstrip("0") for x in m.group().split("."))):
             out.append((*m.span(), "ip"))
     for kind, pattern, low, high in (("card", CARD, 14, 19), ("phone", PHONE, 10, 15)):
         for m in pattern.finditer(text):

@@ -19,6 +19,7 @@ def test_stages(spark, tmp_path):
     texts += [near, near + " tail"]
     item = " ".join(prose(rng, 30).split())
     texts.append(item + " " + prose(rng, 20))
+    texts.append(" ".join(item.split()[2:18]) + " " + " ".join(f"own{k}" for k in range(900)))  # a small share of a long text
     docs = [(k, t, "en", "s", len(t or "")) for k, t in enumerate(texts)]
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     toxic = {k for k, t in enumerate(texts) if any(b in (t or "") for b in BAD)}
@@ -43,7 +44,7 @@ def test_stages(spark, tmp_path):
     label = brute_components(list(before.items()))
     assert {r.doc_id for r in after} == {i for i, (_, c) in label.items() if c == i}
     before, after = seen["decontamination"]
-    hit = {x[0] for x in brute_windows(list(before.items()), [(1, item)]) if x[4]}
+    hit = {x[0] for x in brute_windows(list(before.items()), [(1, item)]) if x[2]}
     assert hit and {r.doc_id for r in after} == set(before) - hit
     before, after = seen["encode"]
     assert {r.doc_id for r in after} == set(before) and all(r.n_tokens == len(r.ids) for r in after)
