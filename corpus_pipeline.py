@@ -1,7 +1,8 @@
 """The corpus pipeline: toxic documents go, repeated lines go, one document of each near-duplicate group stays,
 contaminated documents go, and the rest is encoded.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame; the next one reads what it returned as Parquet.
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; the next one reads what it returned as Parquet. All but
+the last return the columns of documents, whatever else there was beside; an empty table goes through as one.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispark.llm import bpe, contamination, linededup, neardup, toxicity
-from lexispark.llm._tables import shared_dir
+from lexispark.llm._tables import forget, shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -35,16 +36,18 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, the one with the smallest id; documents without words are in no group."""
+    """One document of each group, the one with the smallest id; documents without words are in no group. Rows of one
+    id are one document, and those of a null id are in no group."""
     out = neardup.near_duplicates(docs.select("doc_id", "text")).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(out, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no more of the benchmark than the limit."""
-    found = contamination.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    out = found.where("contaminated").select("doc_id").distinct()
-    return docs.join(out, "doc_id", "left_anti").select(*COLUMNS)
+    """Documents without any window of the benchmark. Rows are told apart by id and text, null ids included."""
+    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    found = contamination.contamination(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row")
+    out = found.where("n_hit > 0").select(F.col("doc_id").alias("_row")).distinct()
+    return keyed.join(out, "_row", "left_anti").select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,6 +66,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other over documents, each written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    forget(spark, base)
     for name, stage in STAGES:
         path = f"{base}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
