@@ -3,9 +3,11 @@
 A SimHash adds up random vectors of a line's words. Here each word's vector lies in one of a line's blocks of coordinates
 (a sparse projection), so that an edit of one word moves at most two blocks, and of 2 k + 1 blocks k edits leave one as it
 was: lines within k edits meet by joining on (block, value). Blocks are only tested for equality, so their totals are
-compared and not the totals' signs, which would only merge values, more and more of them as the table grows. A line whose
-empty blocks could be all that is left has its first k + 1 distinct words as keys too. So every pair at the limit is a
-candidate. Candidates whose parities of words in 64 cells differ in more than two cells an edit are further apart than the
+compared and not the totals' signs, which would only merge values, more and more of them as the table grows. Of lines
+with few blocks, those with an empty one have their first k + 1 distinct words as keys too, so that every pair at the limit
+is a candidate. Lines with many blocks leave out blocks of a word or two, which a common word would crowd: about 16 words
+thrown at 17 blocks leave 6 as they were, and all of these are that small once in 100,000 pairs at the limit (of 9 blocks,
+once in 10,000; in pairs below the limit, less). Candidates whose parities of words in 64 cells differ in more than two cells an edit are further apart than the
 limit and go at once; the others are verified by edit similarity, but those whose lines are in one group already.
 """
 
@@ -25,6 +27,8 @@ SIMILAR = 0.9
 LEAST, FUZZY = 2, 9
 #: Lines are blocked for each number of edits up to STEPS, then for numbers that grow by GROWTH.
 STEPS, GROWTH = 8, 1.25
+#: Words of a block that is a key: edits that a line is blocked for, from which so many are asked for.
+FULL = ((8, 3), (4, 2), (0, 1))
 #: Lines of a part of a key; of a larger key each two parts are compared in a cell of their own.
 PART = 1024
 #: Lines that have more than one in HEAVY of all places (fewer than HEAVY lines, so) are joined by broadcast.
@@ -56,20 +60,21 @@ def level(k: Column) -> Column:
 
 
 def block_keys(hashes: Column, edits_: Column) -> Column:
-    """A key for each block that holds words, by its number and its total (as two sums of 32-bit halves, which can't
-    overflow). hashes are sorted, and blocks are ranges of them."""
+    """A key for each block that holds words (as many as FULL says), by its number and its total (as two sums of 32-bit
+    halves, which can't overflow). hashes are sorted, and blocks are ranges of them."""
     n, none = (2 * edits_ + 1).cast("bigint"), F.lit(0).cast("bigint")
+    full = F.coalesce(*[F.when(edits_ >= k, F.lit(w)) for k, w in FULL])
 
     def closed(a: Column) -> Column:
-        return F.when(a["at"] < 0, a["keys"]).otherwise(F.concat(a["keys"], F.array(F.xxhash64(n, a["at"], a["high"], a["low"]))))
+        return F.when(a["words"] < full, a["keys"]).otherwise(F.concat(a["keys"], F.array(F.xxhash64(n, a["at"], a["high"], a["low"]))))
 
     def step(a: Column, x: Column) -> Column:
         at = F.shiftright((F.shiftright(x, 33) + F.lit(1 << 30)) * n, 31)
         same = a["at"] == at
         total = lambda name, part: (F.when(same, a[name]).otherwise(none) + part).alias(name)
-        return F.struct(F.when(same, a["keys"]).otherwise(closed(a)).alias("keys"), at.alias("at"), total("high", F.shiftright(x, 32)), total("low", x.bitwiseAND(F.lit(0xFFFFFFFF))))
+        return F.struct(F.when(same, a["keys"]).otherwise(closed(a)).alias("keys"), at.alias("at"), total("words", F.lit(1)), total("high", F.shiftright(x, 32)), total("low", x.bitwiseAND(F.lit(0xFFFFFFFF))))
 
-    start = F.struct(F.array().cast("array<bigint>").alias("keys"), F.lit(-1).cast("bigint").alias("at"), none.alias("high"), none.alias("low"))
+    start = F.struct(F.array().cast("array<bigint>").alias("keys"), F.lit(-1).cast("bigint").alias("at"), none.alias("words"), none.alias("high"), none.alias("low"))
     return F.aggregate(hashes, start, step, closed)
 
 
@@ -90,7 +95,7 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def whole(keys: str, k: str) -> Column:
         first = F.transform(F.slice(F.array_distinct("h"), F.lit(1), F.col(k) + 1), lambda x: F.xxhash64(F.col(k), x))
-        return F.when(F.size(keys) <= 2 * F.col(k), F.concat(keys, first)).otherwise(F.col(keys))
+        return F.when((F.col(k) < FULL[-2][0]) & (F.size(keys) <= 2 * F.col(k)), F.concat(keys, first)).otherwise(F.col(keys))
 
     keys = F.when(F.col("two").isNull(), whole("one", "k")).otherwise(F.concat(whole("one", "k"), whole("two", "k2")))
     return blocks.select(*place, "parity", keys.alias("keys"))
@@ -116,13 +121,13 @@ def _sided(df: DataFrame, side: str, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*keep, *[F.col(c).alias(f"{c}_{side}") for c in df.columns if c not in keep])
 
 
-def chains(keys: DataFrame, kinds: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """(a, b): each line of a key with the first one and the one before. What these link needn't be compared again."""
-    near = keys.select("hash", F.explode("others").alias("o")).where("o <> hash")
-    pairs = near.select(F.least("hash", "o").alias("hash_a"), F.greatest("hash", "o").alias("hash_b")).distinct()
+def stars(keys: DataFrame, kinds: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """(a, b): each line with one that may be similar, of the first ones of its keys and those before it. What these link
+    needn't be compared again."""
+    near = keys.select("hash", F.explode(F.array_distinct("others")).alias("o")).where("o <> hash").distinct()
     facts = kinds.select("hash", "words", "parity")
-    both = pairs.join(_sided(facts, "a"), "hash_a").join(_sided(facts, "b"), "hash_b")
-    return both.where(_may_link(similar)).select(F.col("hash_a").alias("a"), F.col("hash_b").alias("b"))
+    both = near.select(F.col("o").alias("hash_a"), F.col("hash").alias("hash_b")).join(_sided(facts, "a"), "hash_a").join(_sided(facts, "b"), "hash_b")
+    return both.where(_may_link(similar)).groupBy(F.col("hash_b").alias("b")).agg(F.min("hash_a").alias("a")).select("a", "b")
 
 
 def near_pairs(keys: DataFrame, kinds: DataFrame, label: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -175,7 +180,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # texts are shuffled whatever the number of lines, so that a plan that works on a small table is the one at scale
     found = rows.join(ends.hint("merge"), rows["doc"].eqNullSafe(ends["doc_"]) & (rows["row"] == ends["row_"])).select("hash", as_letters(words_of(F.get(F.split("text", "\n"), F.col("at")))).alias("norm"))
     norms = materialise(found.groupBy("hash").agg(F.min("norm").alias("norm")), "line-words")
-    links = materialise(linked(chains(keys, kinds, similar), norms, similar), "line-links")
+    links = materialise(linked(stars(keys, kinds, similar), norms, similar), "line-links")
     more = materialise(linked(near_pairs(keys, kinds, components(links), similar), norms, similar), "line-links")
     label = components(links.union(more)).withColumnRenamed("node", "hash")
     grouped = kinds.join(label, "hash", "left").where("times > 1 or component is not null").withColumn("group", F.coalesce("component", "hash"))
