@@ -1,25 +1,35 @@
-"""Fuzzy line dedup by DataFrame functions alone: SimHash blocks, pigeonhole join, edit similarity, components.
+"""Fuzzy line dedup: SimHash blocks, pigeonhole join, edit similarity, components.
 
 A SimHash adds up random vectors of a line's words. Here each word's vector lies in one of a line's blocks of coordinates
 (a sparse projection), so that an edit of one word moves at most two blocks, and of 2 k + 1 blocks k edits leave one as it
 was: lines within k edits meet by joining on (block, value). Blocks are only tested for equality, so their totals are
 compared and not the totals' signs, which would only merge values, more and more of them as the table grows. Of lines
-with few blocks, those with an empty one have their first k + 1 distinct words as keys too, so that every pair at the limit
+with few blocks, those with an empty one, and of all lines those of few different words, have their first k + 1 distinct words as keys too, so that every pair at the limit
 is a candidate. Lines with many blocks leave out blocks of a word or two, which a common word would crowd: about 16 words
 thrown at 17 blocks leave 6 as they were, and all of these are that small once in 100,000 pairs at the limit (of 9 blocks,
 once in 10,000; in pairs below the limit, less). Candidates whose parities of words in 64 cells differ in more than two cells an edit are further apart than the
 limit and go at once; the others are verified by edit similarity, but those whose lines are in one group already.
+
+Joins, pruning, edit similarity and components are DataFrame functions. The lines' words and blocks are made by numpy on
+Arrow batches: as built-in functions of arrays they alone took 690 CPU seconds a GB, of a limit of 400 for all.
 """
 
 from __future__ import annotations
 
+import functools
 import math
+import re
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._graph import components
-from ._tables import materialise
+from ._tables import lean, materialise, short_batches
+from .neardup import _Hashes, _mix
 
 #: Edit similarity (1 - distance / longer length, both in words) from which lines are linked; one edit is always allowed.
 SIMILAR = 0.9
@@ -29,22 +39,19 @@ LEAST, FUZZY = 2, 9
 STEPS, GROWTH = 8, 1.25
 #: Words of a block that is a key: edits that a line is blocked for, from which so many are asked for.
 FULL = ((8, 3), (4, 2), (0, 1))
+#: Words held at once while a table of lines is made (or those of one line, if they are more); words a worker remembers.
+HELD, REMEMBERED = 1 << 20, 200_000
+#: Bytes of removed lines' places up to which they are broadcast; beyond, texts are shuffled to them.
+BROADCAST = 32 << 20
 #: Lines of a part of a key; of a larger key each two parts are compared in a cell of their own.
 PART = 1024
 #: Lines that have more than one in HEAVY of all places (fewer than HEAVY lines, so) are joined by broadcast.
 HEAVY = 4096
 
 
-def words_of(line: Column) -> Column:
-    """A line's words: runs of ASCII letters and digits and of other characters, ASCII letters lower-cased (others by
-    their simple mapping)."""
-    return F.array_remove(F.split(F.lower(line), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
-
-
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Row keys and texts: rows equal in id and text are one document."""
-    text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).cast("string").alias("doc"), F.xxhash64(F.col(id_col), text).alias("row"), text.alias("text"))
+WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
+WORD_OR_END = re.compile(rb"[a-z0-9\x80-\xff]+|\n")
+PLACES = "doc string, row bigint, at int, hash bigint, words int, parity bigint, keys array<bigint>"
 
 
 def edits(words: Column, similar: float) -> Column:
@@ -52,94 +59,182 @@ def edits(words: Column, similar: float) -> Column:
     return F.greatest(F.lit(1), F.floor((1 - similar) * words + 1e-9).cast("int"))
 
 
-def level(k: Column) -> Column:
+def edits_of(words: np.ndarray, similar: float) -> np.ndarray:
+    return np.maximum(1, np.floor((1 - similar) * words + 1e-9).astype(np.int64))
+
+
+def level(k: np.ndarray) -> np.ndarray:
     """The number of edits that pairs at k edits are blocked for. A line's own level and those of all longer lines that
     are similar to it are at most two, as these lines' edits are fewer than GROWTH times its own."""
-    up = F.ceil(F.log(k / F.lit(float(STEPS))) / F.lit(math.log(GROWTH)) - 1e-9)
-    return F.when(k <= STEPS, k).otherwise(F.ceil(STEPS * F.pow(F.lit(GROWTH), up) - 1e-6).cast("int"))
-
+    up = np.ceil(np.log(np.maximum(k, 1) / STEPS) / math.log(GROWTH) - 1e-9)
+    return np.where(k <= STEPS, k, np.ceil(STEPS * GROWTH**up - 1e-6).astype(np.int64))
 
-def block_keys(hashes: Column, edits_: Column) -> Column:
-    """A key for each block that holds words (as many as FULL says), by its number and its total (as two sums of 32-bit
-    halves, which can't overflow). hashes are sorted, and blocks are ranges of them."""
-    n, none = (2 * edits_ + 1).cast("bigint"), F.lit(0).cast("bigint")
-    full = F.coalesce(*[F.when(edits_ >= k, F.lit(w)) for k, w in FULL])
 
-    def closed(a: Column) -> Column:
-        return F.when(a["words"] < full, a["keys"]).otherwise(F.concat(a["keys"], F.array(F.xxhash64(n, a["at"], a["high"], a["low"]))))
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Row keys and texts: rows equal in id and text are one document."""
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("string").alias("doc"), F.xxhash64(F.col(id_col), text).alias("row"), text.alias("text"))
 
-    def step(a: Column, x: Column) -> Column:
-        at = F.shiftright((F.shiftright(x, 33) + F.lit(1 << 30)) * n, 31)
-        same = a["at"] == at
-        total = lambda name, part: (F.when(same, a[name]).otherwise(none) + part).alias(name)
-        return F.struct(F.when(same, a["keys"]).otherwise(closed(a)).alias("keys"), at.alias("at"), total("words", F.lit(1)), total("high", F.shiftright(x, 32)), total("low", x.bitwiseAND(F.lit(0xFFFFFFFF))))
 
-    start = F.struct(F.array().cast("array<bigint>").alias("keys"), F.lit(-1).cast("bigint").alias("at"), none.alias("words"), none.alias("high"), none.alias("low"))
-    return F.aggregate(hashes, start, step, closed)
+def block_keys(h: np.ndarray, line: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key): of each line a key for each of 2 k + 1 blocks that holds as many words as FULL says, by the line's
+    level, the block's number and the total of its words' hashes. line numbers each word's line, k each line's edits."""
+    n = 2 * k + 1
+    first = np.cumsum(n) - n
+    at = first[line] + (((h >> np.uint64(33)) * n[line].astype(np.uint64)) >> np.uint64(31)).astype(np.int64)
+    total, held = np.zeros(int(n.sum()), np.uint64), np.bincount(at, minlength=int(n.sum()))
+    np.add.at(total, at, h)
+    owner = np.repeat(np.arange(len(n)), n)
+    full = np.select([k >= least for least, _ in FULL], [words for _, words in FULL])
+    good = np.flatnonzero(held >= full[owner])
+    name = n[owner[good]].astype(np.uint64) << np.uint64(32) | (good - first[owner[good]]).astype(np.uint64)
+    keys, owner_of = _mix(total[good] + _mix(name)), owner[good]
+    # lines of few blocks with an empty one, and lines with many small ones (those of few different words): the others may be
+    # all that two lines don't share
+    kept = np.bincount(owner_of, minlength=len(n))
+    bare = np.flatnonzero(np.where(k < FULL[-2][0], kept < n, 4 * kept < 3 * n))
+    begin = np.searchsorted(line, [bare, bare + 1])
+    more = [np.unique(h[a:b])[: k[x] + 1] + np.uint64(k[x]) for x, a, b in zip(bare.tolist(), *begin.tolist(), strict=True)]
+    return np.concatenate([owner_of, np.repeat(bare, [len(m) for m in more])]), np.concatenate([keys, *map(_mix, more)])
+
+
+def describe(h: np.ndarray, lens: np.ndarray, similar: float) -> tuple[np.ndarray, np.ndarray, list]:
+    """Of lines with lens words each, whose hashes are h: the hash of a line, its parity, and its keys (or None)."""
+    line = np.repeat(np.arange(len(lens)), lens)
+    place = (np.arange(len(h)) - np.repeat(np.cumsum(lens) - lens, lens)).astype(np.uint64)
+    total, parity = np.zeros(len(lens), np.uint64), np.zeros(len(lens), np.uint64)
+    np.add.at(total, line, _mix(h + place * np.uint64(0x9E3779B97F4A7C15)))
+    np.bitwise_xor.at(parity, line, np.uint64(1) << (h & np.uint64(63)))
+    fuzzy = np.flatnonzero(lens >= FUZZY)
+    keys = np.full(len(lens), None, object)
+    if len(fuzzy):
+        mine = np.repeat(lens >= FUZZY, lens)
+        own = level(edits_of(lens[fuzzy], similar))
+        # the level of the line's own edits, and the one of the longest line that is similar to it
+        most = level(edits_of(np.floor(lens[fuzzy] / similar + 1e-9), similar))
+        number, words = np.repeat(np.arange(len(fuzzy)), lens[fuzzy]), h[mine]
+        two = np.flatnonzero(most > own)
+        back = np.full(len(fuzzy), -1)
+        back[two] = np.arange(len(two))
+        inside = back[number] >= 0
+        parts = [block_keys(words, number, own)]
+        if len(two):
+            at, found = block_keys(words[inside], back[number[inside]], most[two])
+            parts.append((two[at], found))
+        at, found = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(at, kind="stable")
+        for x, some in zip(fuzzy.tolist(), np.split(found[order], np.cumsum(np.bincount(at, minlength=len(fuzzy)))[:-1]), strict=True):
+            keys[x] = np.unique(some).view(np.int64)
+    return _mix(total + lens.astype(np.uint64)).view(np.int64), parity.view(np.int64), keys.tolist()
+
+
+@lean
+def _lines(batches: Iterable[pa.RecordBatch], similar: float) -> Iterator[pa.RecordBatch]:
+    known = _Hashes()
+    known[b"\n"] = 0
+    docs, rows, parts, held = [], [], [], 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        """The lines of whole documents."""
+        codes = np.concatenate(parts)
+        ends = np.flatnonzero(codes == 0)
+        lens = np.diff(ends, prepend=-1) - 1
+        of = np.repeat(np.arange(len(docs)), [np.count_nonzero(p == 0) for p in parts])
+        at = np.arange(len(ends)) - np.searchsorted(of, of)
+        hashes, parity, keys = describe(codes[codes != 0], lens, similar)
+        yield pa.record_batch([pa.array([docs[k] for k in of.tolist()], pa.string()), pa.array([rows[k] for k in of.tolist()], pa.int64()), pa.array(at.astype(np.int32)), pa.array(hashes), pa.array(lens.astype(np.int32)), pa.array(parity), pa.array(keys, pa.list_(pa.int64()))], names=["doc", "row", "at", "hash", "words", "parity", "keys"])
+
+    for batch in batches:
+        for doc, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            text = text.as_py()
+            if text is None:
+                continue
+            it = (m.group() for m in WORD_OR_END.finditer(text.lower().encode() + b"\n"))
+            some = []
+            while block := list(islice(it, HELD)):
+                some.append(np.fromiter(map(known.__getitem__, block), np.uint64, len(block)))
+                if len(known) > REMEMBERED:
+                    known.clear()
+                    known[b"\n"] = 0
+            docs.append(doc)
+            rows.append(row)
+            parts.append(np.concatenate(some))
+            held += len(parts[-1])
+            if held > HELD:
+                yield from flush()
+                docs, rows, parts, held = [], [], [], 0
+    if docs:
+        yield from flush()
 
 
 def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
-    """(doc, row, at, hash, words, parity, keys): each line, the hash of its words, how many they are, and for lines of
-    FUZZY words the parity of words in 64 cells and the keys to join on. All in one pass without a shuffle; short lines
-    are left out by the reader of the table, since a filter here would be pushed down and cut every line into words once
-    more."""
-    place = ("doc", "row", "at", "hash", "words")
-    lines = _rows(docs, id_col, text_col).select("doc", "row", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    words = lines.select("doc", "row", "at", words_of(F.col("line")).alias("w"))
-    hashed = words.select("doc", "row", "at", F.xxhash64("w").alias("hash"), F.size("w").alias("words"), F.when(F.size("w") >= FUZZY, F.sort_array(F.transform("w", lambda x: F.xxhash64(x)))).alias("h"))
-    longest = F.floor(F.col("words") / similar + 1e-9)
-    # the level of the line's own edits, and the one of the longest line that is similar to it
-    levels = hashed.select(*place, "h", level(edits(F.col("words"), similar)).alias("k"), level(edits(longest, similar)).alias("k2"))
-    parity = F.aggregate("h", F.lit(0).cast("bigint"), lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63)).cast("int"))))
-    blocks = levels.select(*place, "h", "k", "k2", parity.alias("parity"), block_keys(F.col("h"), F.col("k")).alias("one"), F.when(F.col("k2") > F.col("k"), block_keys(F.col("h"), F.col("k2"))).alias("two"))
-
-    def whole(keys: str, k: str) -> Column:
-        first = F.transform(F.slice(F.array_distinct("h"), F.lit(1), F.col(k) + 1), lambda x: F.xxhash64(F.col(k), x))
-        return F.when((F.col(k) < FULL[-2][0]) & (F.size(keys) <= 2 * F.col(k)), F.concat(keys, first)).otherwise(F.col(keys))
-
-    keys = F.when(F.col("two").isNull(), whole("one", "k")).otherwise(F.concat(whole("one", "k"), whole("two", "k2")))
-    return blocks.select(*place, "parity", keys.alias("keys"))
-
-
-def crowded(table: DataFrame) -> DataFrame:
-    """(key, hash, nth, others): the different lines of keys that several have, numbered; others are the first line and
-    the one before."""
-    once = table.where("keys is not null").groupBy("hash").agg(F.first("keys").alias("keys"))
-    order = Window.partitionBy("key").orderBy("hash")
-    keys = once.select("hash", F.explode(F.array_distinct("keys")).alias("key"))
-    rows = keys.select("key", "hash", F.row_number().over(order).alias("nth"), F.first("hash").over(order).alias("one"), F.lag("hash").over(order).alias("before"), F.lead("hash").over(order).alias("after"))
-    return rows.where("before is not null or after is not null").select("key", "hash", "nth", F.array("one", "before").alias("others"))
+    """PLACES: each line, the hash of its words, how many they are, the parity of words in 64 cells, and for lines of
+    FUZZY words the keys to join on. One pass without a shuffle."""
+    short_batches(docs.sparkSession)
+    return _rows(docs, id_col, text_col).mapInArrow(functools.partial(_lines, similar=similar), PLACES)
 
 
-def _may_link(similar: float) -> Column:
+@lean
+def _letters(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines as strings of one character for each word (its hash, out of a million), so that an edit distance of such
+    strings counts words."""
+    known = _Hashes()
+    for batch in batches:
+        out = []
+        for text, ends in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            lines = text.as_py().split("\n")
+            for end in ends:
+                words = WORD.findall(lines[end["at"]].lower().encode())
+                codes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+                out.append((end["hash"], (0x10000 + (codes & np.uint64(0xFFFFF))).astype("<u4").tobytes().decode("utf-32-le")))
+            if len(known) > REMEMBERED:
+                known.clear()
+        yield pa.record_batch([pa.array([h for h, _ in out], pa.int64()), pa.array([x for _, x in out], pa.string())], names=["hash", "norm"])
+
+
+def line_words(docs: DataFrame, kinds: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(hash, norm) of the wanted hashes' lines, read once from where each line first is."""
+    ends = wanted.join(kinds.select("hash", "first"), "hash").groupBy(F.col("first.doc").alias("doc_"), F.col("first.row").alias("row_")).agg(F.collect_list(F.struct(F.col("first.at").alias("at"), "hash")).alias("ends"))
+    rows = _rows(docs, id_col, text_col)
+    # texts are shuffled whatever the number of lines, so that a plan that works on a small table is the one at scale
+    found = rows.join(ends.hint("merge"), rows["doc"].eqNullSafe(ends["doc_"]) & (rows["row"] == ends["row_"])).select("text", "ends")
+    return found.mapInArrow(_letters, "hash bigint, norm string").dropDuplicates(["hash"])  # repeated rows read twice
+
+
+def _may_link(similar: float, a: str = "_a", b: str = "_b") -> Column:
     """Whether two lines' numbers of words and parities let them be similar."""
-    most = edits(F.greatest("words_a", "words_b"), similar)
-    return (F.abs(F.col("words_a") - F.col("words_b")) <= most) & (F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) <= 2 * most)
+    words = [F.col(f"words{x}") for x in (a, b)]
+    most = edits(F.greatest(*words), similar)
+    return (F.abs(words[0] - words[1]) <= most) & (F.bit_count(F.col(f"parity{a}").bitwiseXOR(F.col(f"parity{b}"))) <= 2 * most)
 
 
-def _sided(df: DataFrame, side: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    return df.select(*keep, *[F.col(c).alias(f"{c}_{side}") for c in df.columns if c not in keep])
+def crowded(table: DataFrame, kinds: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """(key, hash, words, parity, nth, star): the different lines of keys that several have, numbered. star is the first
+    line of the key or the one before, if it may be similar."""
+    once = table.where("keys is not null").groupBy("hash").agg(F.first("keys").alias("keys"))
+    order = Window.partitionBy("key").orderBy("hash")
+    rows = once.select("hash", F.explode("keys").alias("key")).select("key", "hash", F.lag("hash").over(order).alias("before"), F.lead("hash").over(order).alias("after"))
+    facts = rows.where("before is not null or after is not null").select("key", "hash").join(kinds.select("hash", "words", "parity"), "hash")
+    line = F.struct("hash", "words", "parity")
+    near = facts.select("key", "hash", "words", "parity", F.row_number().over(order).alias("nth"), F.first(line).over(order).alias("one"), F.lag(line).over(order).alias("before"))
+    flat = near.select("key", "hash", "words", "parity", "nth", *[F.col(f"{x}.{c}").alias(f"{c}_{x}") for x in ("one", "before") for c in ("hash", "words", "parity")])
+    star = [F.when((F.col(f"hash_{x}") != F.col("hash")) & _may_link(similar, "", f"_{x}"), F.col(f"hash_{x}")) for x in ("one", "before")]
+    return flat.select("key", "hash", "words", "parity", "nth", F.coalesce(*star).alias("star"))
 
 
-def stars(keys: DataFrame, kinds: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """(a, b): each line with one that may be similar, of the first ones of its keys and those before it. What these link
-    needn't be compared again."""
-    near = keys.select("hash", F.explode(F.array_distinct("others")).alias("o")).where("o <> hash").distinct()
-    facts = kinds.select("hash", "words", "parity")
-    both = near.select(F.col("o").alias("hash_a"), F.col("hash").alias("hash_b")).join(_sided(facts, "a"), "hash_a").join(_sided(facts, "b"), "hash_b")
-    return both.where(_may_link(similar)).groupBy(F.col("hash_b").alias("b")).agg(F.min("hash_a").alias("a")).select("a", "b")
+def _sided(df: DataFrame, side: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    return df.select(*keep, *[F.col(c).alias(f"{c}_{side}") for c in df.columns if c not in keep])
 
 
-def near_pairs(keys: DataFrame, kinds: DataFrame, label: DataFrame, similar: float = SIMILAR) -> DataFrame:
+def near_pairs(keys: DataFrame, label: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """(a, b): all pairs of lines that share a key and may be similar, but those of one group of label (node, component).
 
     The lines of a key meet in cells of two parts of at most PART lines, so a key of many lines is spread over tasks.
     """
-    facts = kinds.select("hash", "words", "parity").join(label.withColumnRenamed("node", "hash"), "hash", "left").select("hash", "words", "parity", F.coalesce("component", "hash").alias("group"))
     large = keys.groupBy("key").agg(F.ceil(F.count("*") / PART).alias("parts")).where("parts > 1")
     parts = F.coalesce("parts", F.lit(1).cast("bigint"))
-    dealt = keys.select("key", "hash", "nth").join(large, "key", "left").select("key", "hash", parts.alias("parts"), F.pmod("nth", parts).alias("part"))
-    dealt = dealt.join(facts, "hash")
+    named = keys.join(label.withColumnRenamed("node", "hash"), "hash", "left").join(large, "key", "left")
+    dealt = named.select("key", "hash", "words", "parity", F.coalesce("component", "hash").alias("group"), parts.alias("parts"), F.pmod("nth", parts).alias("part"))
     cell = lambda k: F.least(k, F.col("part")) * F.col("parts") + F.greatest(k, F.col("part"))
     cells = dealt.select("key", "hash", "words", "parity", "group", "part", F.explode(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1), cell)).alias("cell"), (F.col("part") * F.col("parts") + F.col("part")).alias("own"))
     both = _sided(cells, "a", ("key", "cell")).join(_sided(cells, "b", ("key", "cell")), ["key", "cell"])
@@ -147,13 +242,6 @@ def near_pairs(keys: DataFrame, kinds: DataFrame, label: DataFrame, similar: flo
     return both.where((F.col("hash_a") < F.col("hash_b")) & (F.col("group_a") != F.col("group_b")) & once & _may_link(similar)).select(F.col("hash_a").alias("a"), F.col("hash_b").alias("b")).distinct()
 
 
-def as_letters(words: Column) -> Column:
-    """A string with one character for each word (by its hash, out of a million), so that an edit distance of such
-    strings counts words."""
-    code = lambda w: F.lpad(F.hex(F.lit(0x10000) + F.pmod(F.xxhash64(w), F.lit(1 << 20))), 8, "0")
-    return F.decode(F.unhex(F.array_join(F.transform(words, code), "")), "UTF-32")
-
-
 def within_edits(x: Column, y: Column, similar: float) -> Column:
     """Whether the edit similarity reaches the limit; the distance is only followed up to it."""
     nx, ny = F.char_length(x), F.char_length(y)
@@ -172,16 +260,16 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     table = materialise(line_table(docs, id_col, text_col, similar), "line-places").where(F.col("words") >= LEAST)
     place = F.struct("doc", "row", "at")
     kinds = materialise(table.groupBy("hash").agg(F.min(place).alias("first"), F.min("words").alias("words"), F.count("*").alias("times"), F.min("parity").alias("parity")), "line-kinds")
-    keys = materialise(crowded(table.select("hash", "keys")), "line-keys")
-    # the words of lines that share a key, read once from where a line first is
-    ends = keys.select("hash").distinct().join(kinds.select("hash", "first"), "hash")
-    ends = ends.select("hash", F.col("first.doc").alias("doc_"), F.col("first.row").alias("row_"), F.col("first.at").alias("at"))
-    rows = _rows(docs, id_col, text_col)
-    # texts are shuffled whatever the number of lines, so that a plan that works on a small table is the one at scale
-    found = rows.join(ends.hint("merge"), rows["doc"].eqNullSafe(ends["doc_"]) & (rows["row"] == ends["row_"])).select("hash", as_letters(words_of(F.get(F.split("text", "\n"), F.col("at")))).alias("norm"))
-    norms = materialise(found.groupBy("hash").agg(F.min("norm").alias("norm")), "line-words")
-    links = materialise(linked(stars(keys, kinds, similar), norms, similar), "line-links")
-    more = materialise(linked(near_pairs(keys, kinds, components(links), similar), norms, similar), "line-links")
+    keys = materialise(crowded(table.select("hash", "keys"), kinds, similar), "line-keys")
+    stars = materialise(keys.where("star is not null").groupBy(F.col("hash").alias("b")).agg(F.min("star").alias("a")).select("a", "b"), "line-stars")
+    ends = lambda pairs: pairs.select(F.col("a").alias("hash")).union(pairs.select(F.col("b").alias("hash")))
+    in_stars = materialise(ends(stars).distinct(), "line-stars")
+    # pairs with a line that has no star; those of two lines with one follow when the stars are verified
+    lonely = materialise(near_pairs(keys, in_stars.select(F.col("hash").alias("node"), F.lit(0).cast("bigint").alias("component")), similar), "line-pairs")
+    norms = materialise(line_words(docs, kinds, in_stars.union(ends(lonely)).distinct(), id_col, text_col), "line-words")
+    links = materialise(linked(stars, norms, similar), "line-links")
+    others = near_pairs(keys.join(in_stars, "hash", "left_semi"), components(links), similar)
+    more = materialise(linked(lonely.union(others), norms, similar), "line-links")
     label = components(links.union(more)).withColumnRenamed("node", "hash")
     grouped = kinds.join(label, "hash", "left").where("times > 1 or component is not null").withColumn("group", F.coalesce("component", "hash"))
     owner = grouped.groupBy("group").agg(F.min("first").alias("owner"))
@@ -199,8 +287,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Lines are equal when their words are, and linked when these differ by few edits; of each connected group over the
     whole table the first line stays, by id (as a string), row and position. Lines of fewer than LEAST words stay, and
-    lines of fewer than FUZZY words are in a group with equal ones only. Words are compared by hashes of 20 bits when
-    edits are counted and of 64 bits otherwise. Null and empty texts stay as they are; a text may become empty, but no row
+    lines of fewer than FUZZY words are in a group with equal ones only. Words are runs of ASCII letters
+    and digits and of other characters, lower-cased; they are compared by hashes, of 20 bits when edits are counted and of
+    64 bits otherwise. Null and empty texts stay as they are; a text may become empty, but no row
     goes. Rows equal in id and text are one document and come out alike; null ids sort first; an empty table gives no
     rows. Columns of docs stay, except those beginning with _n_ or named _doc, _row and _gone.
     """
@@ -208,7 +297,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = materialise(removed_lines(docs, id_col, text_col, similar).select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("gone").alias("_gone")), "line-gone")
     text = F.col(text_col).cast("string")
     keyed = own.withColumn("_k", F.xxhash64(F.col(id_col), text))
-    joined = keyed.join(gone.hint("merge"), (keyed["_k"] == gone["_row"]) & F.col(id_col).cast("string").eqNullSafe(gone["_doc"]), "left")
+    size = gone.agg(F.coalesce(F.sum(F.length("_doc") + 8 * F.size("_gone") + 64), F.lit(0))).first()[0]
+    joined = keyed.join(F.broadcast(gone) if size <= BROADCAST else gone.hint("merge"), (keyed["_k"] == gone["_row"]) & F.col(id_col).cast("string").eqNullSafe(gone["_doc"]), "left")
     lines = F.split(text, "\n")
     kept = F.array_join(F.filter(lines, lambda _, k: ~F.array_contains("_gone", k)), "\n")
     return joined.select(*[F.when(F.col("_gone").isNull(), text).otherwise(kept).alias(c) if c == text_col else F.col(c) for c in own.columns], F.coalesce(F.when(text.isNotNull(), F.size(lines)), F.lit(0)).alias("_n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).alias("_n_gone"))

@@ -457,15 +457,25 @@ def test_line_keys_hold_every_pair_at_the_limit(spark, monkeypatch, part):
     assert first_lines(spark, texts) == {group.index(g) for g in set(group)}
 
 
-def test_levels_are_at_most_two(spark):
-    from pyspark.sql import functions as F
-
-    rows = spark.range(9, 3000).select("id", *[linededup.level(linededup.edits(n, 0.9)).alias(c) for c, n in (("own", F.col("id")), ("most", F.floor(F.col("id") / 0.9 + 1e-9)))]).collect()
-    of = {r.id: r.own for r in rows}
+def test_levels_are_at_most_two():
+    n = np.arange(9, 3000)
+    own, most = linededup.level(linededup.edits_of(n, 0.9)), linededup.level(linededup.edits_of(np.floor(n / 0.9 + 1e-9), 0.9))
+    of = dict(zip(n.tolist(), own.tolist(), strict=True))
     edits = lambda n: max(1, int(0.1 * n + 1e-9))
-    for r in rows[:-400]:
-        longer = [m for m in range(r.id, r.id + r.id // 8 + 3) if m - edits(m) <= r.id]
-        assert {of[m] for m in longer} <= {r.own, r.most}, r
+    for x, a, b in list(zip(n.tolist(), own.tolist(), most.tolist(), strict=True))[:-400]:
+        assert {of[m] for m in range(x, x + x // 8 + 3) if m - edits(m) <= x} <= {a, b}, x
+
+
+def test_pairs_at_the_limit_share_a_key():
+    rng = np.random.default_rng(4)
+    for n, least in ((10, 1.0), (25, 1.0), (39, 1.0), (49, 0.999), (89, 0.999), (250, 0.999)):
+        x = rng.integers(1, 1 << 64, (2000, n), dtype=np.uint64)
+        y = x.copy()
+        for row in y:
+            row[rng.choice(n, max(1, n // 10), replace=False)] = rng.integers(1, 1 << 64, max(1, n // 10), dtype=np.uint64)
+        (hx, px, kx), (hy, py, ky) = (linededup.describe(z.ravel(), np.full(len(z), n), 0.9) for z in (x, y))
+        assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in zip(kx, ky, strict=True)]) >= least
+        assert all(bin(a & (1 << 64) - 1).count("1") <= 2 * max(1, n // 10) for a in (px ^ py).tolist()) and not (hx == hy).any()
 
 
 # --- 10
