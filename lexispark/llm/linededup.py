@@ -89,10 +89,13 @@ def block_keys(h: np.ndarray, line: np.ndarray, k: np.ndarray) -> tuple[np.ndarr
     good = np.flatnonzero(held >= full[owner])
     name = n[owner[good]].astype(np.uint64) << np.uint64(32) | (good - first[owner[good]]).astype(np.uint64)
     keys, owner_of = _mix(total[good] + _mix(name)), owner[good]
-    # lines of few blocks with an empty one, and lines with many small ones (those of few different words): the others may be
-    # all that two lines don't share
-    kept = np.bincount(owner_of, minlength=len(n))
-    bare = np.flatnonzero(np.where(k < FULL[-2][0], kept < n, 4 * kept < 3 * n))
+    # lines of few blocks with an empty one, and lines of fewer different words than twice their blocks (by the cells that
+    # the words are in): the other blocks may be all that two lines don't share
+    kept, cells = np.bincount(owner_of, minlength=len(n)), np.zeros(len(n), np.uint64)
+    np.bitwise_or.at(cells, line, np.uint64(1) << (h & np.uint64(63)))
+    taken = np.bitwise_count(cells).astype(float)
+    different = np.where(taken < 60, -64 * np.log1p(-np.minimum(taken, 60) / 64), np.inf)
+    bare = np.flatnonzero(np.where(k < FULL[-2][0], kept < n, different < 2 * n))
     begin = np.searchsorted(line, [bare, bare + 1])
     more = [np.unique(h[a:b])[: k[x] + 1] + np.uint64(k[x]) for x, a, b in zip(bare.tolist(), *begin.tolist(), strict=True)]
     return np.concatenate([owner_of, np.repeat(bare, [len(m) for m in more])]), np.concatenate([keys, *map(_mix, more)])
