@@ -27,8 +27,8 @@ WINDOW, SLOP, PARTS = 13, 26, 20
 #: UTF-8 bytes of text in a shard; benchmark text that is searched at once (its vocabulary and windows go to all tasks).
 SHARD_BYTES, BLOCK_BYTES = 8 << 20, 8 << 20
 
-INDEX = "ids array<bigint>, n_words array<bigint>, terms array<int>, sizes array<int>, postings binary"
-HITS = "doc_id bigint, n_words bigint, begins array<bigint>, ends array<bigint>, items array<string>, near array<string>"
+INDEX = "ids array<bigint>, texts array<bigint>, n_words array<bigint>, terms array<int>, sizes array<int>, postings binary"
+HITS = "doc_id bigint, text_id bigint, n_words bigint, begins array<bigint>, ends array<bigint>, items array<string>, near array<string>"
 
 
 def words_of(raw: bytes | None) -> list[bytes]:
@@ -51,10 +51,10 @@ class Windows:
 @lean
 def _index(batches: Iterable[pa.RecordBatch], terms: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
     """Shards: postings are positions in the shard's documents, one behind the other with a gap of one between two."""
-    ids, counts, parts, size, at = [], [], [], 0, 0
+    ids, texts, counts, parts, size = [], [], [], [], 0
 
     def flush() -> Iterator[pa.RecordBatch]:
-        nonlocal ids, counts, parts, size, at
+        nonlocal ids, texts, counts, parts, size
         if ids:
             every = np.concatenate(parts)
             pos = np.flatnonzero(every >= 0)
@@ -63,17 +63,18 @@ def _index(batches: Iterable[pa.RecordBatch], terms: dict[bytes, int]) -> Iterat
             pos, (kinds, first, n) = pos[order], np.unique(term[order], return_index=True, return_counts=True)
             gaps = np.diff(pos, prepend=0)
             gaps[first] = pos[first]
-            yield pa.record_batch([pa.array([ids], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int64())), pa.array([kinds], pa.list_(pa.int32())), pa.array([n], pa.list_(pa.int32())), pa.array([pack(gaps)], pa.binary())], names=["ids", "n_words", "terms", "sizes", "postings"])
-        ids, counts, parts, size, at = [], [], [], 0, 0
+            yield pa.record_batch([pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int64())), pa.array([kinds], pa.list_(pa.int32())), pa.array([n], pa.list_(pa.int32())), pa.array([pack(gaps)], pa.binary())], names=["ids", "texts", "n_words", "terms", "sizes", "postings"])
+        ids, texts, counts, parts, size = [], [], [], [], 0
 
     gap = np.full(1, -1, np.int32)
     for batch in batches:
-        for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        for doc, raw, text_id in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
             raw = raw.as_py()
             words = words_of(raw)
             if size and size + len(raw or b"") > SHARD_BYTES:
                 yield from flush()
             ids.append(doc)
+            texts.append(text_id)
             counts.append(len(words))
             parts += [np.fromiter((terms.get(w, -1) for w in words), np.int32, len(words)), gap]
             size += len(raw or b"") + 64
@@ -116,16 +117,15 @@ class Shard:
 
 
 @lean
-def _search(batches: Iterable[pa.RecordBatch], windows: list[tuple[tuple[int, ...], list[str], list[int]]]) -> Iterator[pa.RecordBatch]:
+def _search(batches: Iterable[pa.RecordBatch], by_rarest: dict[int, list[tuple[tuple[int, ...], list[str], list[int]]]]) -> Iterator[pa.RecordBatch]:
+    """A shard is searched for the windows whose rarest term it holds."""
     for batch in batches:
         for row in batch.to_pylist():
             shard = Shard(row["terms"], row["sizes"], row["postings"])
             lens = np.array(row["n_words"], np.int64)
             first = np.concatenate([[0], np.cumsum(lens + 1)])[:-1]
             hits: dict[int, list] = {}
-            for window, items, order in windows:
-                if window[order[0]] not in shard.lists:
-                    continue
+            for window, items, order in (w for term in by_rarest.keys() & shard.lists.keys() for w in by_rarest[term]):
                 rare = list(dict.fromkeys(window[k] for k in order))[:3]
                 begins = shard.phrase(window, order)
                 for what, found in ((0, begins), (1, shard.near(rare, SLOP))):
@@ -146,7 +146,7 @@ def _search(batches: Iterable[pa.RecordBatch], windows: list[tuple[tuple[int, ..
                     end = max(end, b)
                 spans.append([*out, (begin, end)] if begin is not None else out)
             sets = [[sorted(hits.get(d, empty)[k]) for d in range(len(lens))] for k in (1, 2)]
-            yield pa.record_batch([pa.array(row["ids"], pa.int64()), pa.array(lens), *(pa.array([[s[k] for s in x] for x in spans], pa.list_(pa.int64())) for k in (0, 1)), *(pa.array(s, pa.list_(pa.string())) for s in sets)], names=["doc_id", "n_words", "begins", "ends", "items", "near"])
+            yield pa.record_batch([pa.array(row["ids"], pa.int64()), pa.array(row["texts"], pa.int64()), pa.array(lens), *(pa.array([[s[k] for s in x] for x in spans], pa.list_(pa.int64())) for k in (0, 1)), *(pa.array(s, pa.list_(pa.string())) for s in sets)], names=["doc_id", "text_id", "n_words", "begins", "ends", "items", "near"])
 
 
 @lean
@@ -161,7 +161,10 @@ def _block_hits(docs: DataFrame, block: Windows) -> DataFrame:
     ranks = index.select("terms", "sizes").mapInArrow(_ranked, "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
     count = {r["term"]: r["n"] for r in ranks.collect()}  # at most the terms of the block
     windows = [(w, sorted(items), sorted(range(len(w)), key=lambda k: (count.get(w[k], 0), k))) for w, items in block.windows if all(t in count for t in w)]
-    shared = docs.sparkSession.sparkContext.broadcast(windows)
+    by_rarest: dict[int, list] = {}
+    for window in windows:
+        by_rarest.setdefault(window[0][window[2][0]], []).append(window)
+    shared = docs.sparkSession.sparkContext.broadcast(by_rarest)
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _search(batches, shared.value)
@@ -203,12 +206,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     items are the benchmark items with a window that occurs, near those with a proximity match. The benchmark is read
     in blocks of BLOCK_BYTES; each block has an index of its own terms, so what goes to a task has a fixed size, and
-    with several blocks the spans of a document are joined at the end. Null and empty texts have no words; null items
-    have no windows; repeated rows give a row each (with several blocks, rows with equal doc_id and length share their
-    hits and stay as many rows); an empty table gives no rows; columns other than those named are not read.
+    with several blocks the spans of a document are joined at the end, by its id and a hash of its text. Null and empty texts have no words; null items
+    have no windows; repeated rows give a row each; an empty table gives no rows; columns other than those named are not read.
     """
     short_batches(docs.sparkSession)
-    two = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
+    two = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"), F.xxhash64(F.col(text_col).cast("string")).alias("text_id"))
     tests = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text).cast("string").cast("binary").alias("text")).where("item is not null").orderBy("item", "text")
     hits = [_block_hits(two, Windows(block)) for block in _blocks(tests)]
     spans = F.arrays_zip(F.col("begins").alias("b"), F.col("ends").alias("e")).alias("spans")
@@ -217,9 +219,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     else:
         every = functools.reduce(DataFrame.unionAll, [h.withColumn("block", F.lit(k)) for k, h in enumerate(hits)])
         flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
-        rows = hits[0].groupBy("doc_id", "n_words").agg(F.count("*").alias("_n"))
-        one = every.select("*", spans).groupBy("doc_id", "n_words").agg(flat("items"), flat("near"), F.flatten(F.collect_list("spans")).alias("spans"))
-        one = one.join(rows.withColumnsRenamed({"doc_id": "_d", "n_words": "_w"}), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("n_words") == F.col("_w"))).select("doc_id", "n_words", "items", "near", "spans", F.explode(F.sequence(F.lit(1), "_n")).alias("_k")).drop("_k")
+        rows = hits[0].groupBy("doc_id", "text_id").agg(F.count("*").alias("_n"))
+        one = every.select("*", spans).groupBy("doc_id", "text_id").agg(F.max("n_words").alias("n_words"), flat("items"), flat("near"), F.flatten(F.collect_list("spans")).alias("spans"))
+        one = one.join(rows.withColumnsRenamed({"doc_id": "_d", "text_id": "_t"}), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_id") == F.col("_t"))).select("doc_id", "n_words", "items", "near", "spans", F.explode(F.sequence(F.lit(1), "_n")).alias("_k")).drop("_k")
     out = one.select("doc_id", "n_words", "items", "near", "spans").mapInArrow(_merge, "doc_id bigint, n_words bigint, items array<string>, near array<string>, n_hit bigint")
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (PARTS * F.col("n_hit") >= F.col("n_words")))
 

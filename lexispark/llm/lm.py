@@ -97,9 +97,9 @@ def band(c: np.ndarray, least: float) -> np.ndarray:
 
 
 @lean
-def _classes(batches: Iterable[pa.RecordBatch], total: int, distinct: int, once: int, rare: int, mass: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _classes(batches: Iterable[pa.RecordBatch], total: int, distinct: int, rare: int, mass: np.ndarray) -> Iterator[pa.RecordBatch]:
     """A row for each row of documents: the tokens' classes, and what does not depend on the model."""
-    new = max(ALPHA, once)  # all unknown words together get the weight of those seen once, in their class
+    new = ALPHA  # of one unknown word, in the class of those seen once, so that the known words and it sum to 1
     share = mass + new * (np.arange(K) == rare)
     for memo, code, columns, _, positions, docs, lens in pieces(batches, 3):
         if not memo:
@@ -200,8 +200,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     once_each = words.withColumn("pass", F.lit(0)).repartition("key").sortWithinPartitions("key")
     sums = once_each.mapInArrow(_totals, "word binary, c bigint, n bigint").where("c > 0")
     sums = materialise(sums.groupBy("word", "c").agg(F.sum("n").alias("n")), "lm-counts")
-    counts = sums.where("word is null").agg(F.sum(F.col("c") * F.col("n")), F.sum("n"), F.sum(F.when(F.col("c") == 1, F.col("n")))).first()
-    total, distinct, once = (x or 0 for x in counts)
+    counts = sums.where("word is null").agg(F.sum(F.col("c") * F.col("n")), F.sum("n")).first()
+    total, distinct = (x or 0 for x in counts)
     best = sums.where(F.col("word").isNotNull() & (F.col("word") != END)).orderBy(F.desc("c"), "word").limit(TOP - 1).collect()
     end = sum(r["c"] for r in sums.where(F.col("word") == END).collect())
     own = [(END, end), *((bytes(r["word"]), r["c"]) for r in best)]
@@ -218,7 +218,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     twice = words.withColumn("pass", F.explode(F.array(F.lit(0), F.lit(1)))).repartition("key").sortWithinPartitions("key", "pass")
     known = twice.mapInArrow(functools.partial(_answers, top=top, least=least), DDL)
     chunks = by_chunk(known.unionByName(table.where(F.col("kind") == DOCUMENTS)))
-    chunks = materialise(chunks.mapInArrow(functools.partial(_classes, total=total, distinct=distinct, once=once, rare=rare, mass=mass), "blob binary, ids array<bigint>, lens array<bigint>, base array<double>, inside array<double>, known array<bigint>"), "lm-classes")
+    chunks = materialise(chunks.mapInArrow(functools.partial(_classes, total=total, distinct=distinct, rare=rare, mass=mass), "blob binary, ids array<bigint>, lens array<bigint>, base array<double>, inside array<double>, known array<bigint>"), "lm-classes")
     cells = chunks.select("blob", "ids", "lens").mapInArrow(_triples, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     params = spark.sparkContext.broadcast(train(cells["cell"].to_numpy(), cells["n"].to_numpy()))
     return chunks.mapInArrow(functools.partial(_score, params=params), SCORED).withColumn("train_tokens", F.lit(total).cast("bigint"))

@@ -17,6 +17,8 @@ from ._tables import lean, materialise
 
 #: Vectors in a shard (about; a tree is one row), in a leaf, and queries in a block.
 SHARD, LEAF, BLOCK = 16_384, 256, 512
+#: Blocks that search one copy of a tree.
+VISITS = 64
 #: Whole numbers up to here are exact in the matrix products.
 EXACT = 1 << 53
 
@@ -71,8 +73,9 @@ class KDTree:
     def search(self, query: np.ndarray, own: int, bound: np.ndarray, k: int, best: list[tuple[float, int]]) -> list[tuple[float, int]]:
         """Best-first traversal. best holds up to k (score, -id) from elsewhere, smallest first: its first one is the
         propagated kth; a box below it, or level with it and without a smaller id, is not opened."""
-        heap = list(best)
+        heap = heapq.nlargest(k, best)
         heapq.heapify(heap)
+        bound = bound.tolist()
         queue = [(-bound[0], 0)]
         while queue:
             top, node = heapq.heappop(queue)
@@ -91,11 +94,10 @@ class KDTree:
                 some = np.flatnonzero(scores >= heap[0][0])
             else:
                 some = np.arange(len(ids))
+            some = some[ids[some] != own]
             if len(some) > 8 * k:  # the k best of a leaf are enough
-                some = some[np.lexsort((ids[some], -scores[some]))[: k + 1]]
+                some = some[np.lexsort((ids[some], -scores[some]))[:k]]
             for s, i in zip(scores[some].tolist(), ids[some].tolist(), strict=True):
-                if i == own:
-                    continue
                 if len(heap) < k:
                     heapq.heappush(heap, (s, -i))
                 elif (s, -i) > heap[0]:
@@ -104,43 +106,46 @@ class KDTree:
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, v): floor(256 * x) of each component; rows whose vector is null or has a null or non-finite one are gone."""
+    """(vec_id, v, _query): floor(256 * x) of each component; rows whose vector is null or has a null or non-finite one are gone."""
     v = F.col(vector_col)
     fine = F.col(id_col).isNotNull() & v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
-    return vectors.where(fine).select(F.col(id_col).cast("bigint").alias("vec_id"), F.transform(v, lambda x: F.floor(x.cast("double") * 256).cast("double")).alias("v"))
+    return vectors.where(fine).select(F.col(id_col).cast("bigint").alias("vec_id"), F.transform(v, lambda x: F.floor(x.cast("double") * 256).cast("double")).alias("v"), F.coalesce("_query", F.lit(False)).alias("_query"))
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
+def _matrix(column: pa.Array, width: int, kind: type) -> np.ndarray:
     """Rows of equal or smaller width; missing components are 0."""
     lens = np.diff(column.offsets.to_numpy())
-    out = np.zeros((len(column), width))
+    out = np.zeros((len(column), width), kind)
     out[np.arange(width)[None, :] < lens[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
     return out
 
 
-def _plant(key, table, width):  # no hints: Spark would read them
-    tree = KDTree(table["vec_id"].to_numpy(), _matrix(table["v"].combine_chunks(), width))
+def _plant(key, table, width, kind):  # no hints: Spark would read them
+    tree = KDTree(table["vec_id"].to_numpy(), _matrix(table["v"].combine_chunks(), width, kind))
     return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "tree": pa.array([tree.dump()], pa.binary())})
 
 
-def _block(key, table, width):  # no hints: Spark would read them
+def _block(key, table, width, kind):  # no hints: Spark would read them
     table = table.sort_by("vec_id")
     out = io.BytesIO()
-    np.savez(out, ids=table["vec_id"].to_numpy(), vectors=_matrix(table["v"].combine_chunks(), width))
+    np.savez(out, ids=table["vec_id"].to_numpy(), vectors=_matrix(table["v"].combine_chunks(), width, kind))
     return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "queries": pa.array([out.getvalue()], pa.binary())})
 
 
 @lean
 def _search(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Rows by (shard, salt): a tree (queries null), then the blocks of queries that search it."""
+    tree = None
     for batch in batches:
         for row in range(batch.num_rows):
-            tree = KDTree.load(batch.column(0)[row].as_py())
+            if (raw := batch.column(0)[row].as_py()) is not None:
+                tree = KDTree.load(raw)
+                continue
             with np.load(io.BytesIO(batch.column(1)[row].as_py())) as x:
                 ids, queries = x["ids"], x["vectors"]
-            known = batch.column(2)[row].as_py() or []
             start: dict[int, list[tuple[float, int]]] = {}
-            for r in known:
-                start.setdefault(r["query_id"], []).append((float(r["score"]), -r["vec_id"]))
+            for r in batch.column(2)[row].as_py() or []:
+                start.setdefault(r["query_id"], []).append((r["score"], -r["vec_id"]))
             bound, out = tree.bounds(queries), []
             for q, own, b in zip(queries, ids.tolist(), bound, strict=True):
                 before = start.get(own, [])
@@ -151,35 +156,41 @@ def _search(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", shard: int = SHARD, block: int = BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score): for each row where is_query holds the k rows with the largest integer inner
-    products, itself left out, ties to the smaller vec_id.
+    """(query_id, rank, vec_id, score): for each vec_id with rows where is_query holds the k rows of other vec_ids with the
+    largest integer inner products, ties to the smaller vec_id.
 
     Vectors are dealt to shards by a hash, and each shard is a tree; queries are dealt to blocks. Each block first
     searches one shard; its kth scores then go along to all other shards, so that their boxes are pruned from the
-    start. Memory follows shard and block, the work the number of their pairs. Vectors null or with null or
-    non-finite components take no part; shorter vectors count as padded with zeros; rows with equal vec_id are one
-    candidate (the one with the largest vector); null ids take no part; an empty table gives no rows; columns other
-    than the two named and those in is_query are not read. Products beyond 2 ** 53 are an error.
+    start. Blocks travel to trees, and a tree once for each VISITS of them. Memory follows shard and block, the work the
+    number of their pairs. Vectors null or with null or non-finite components take no part; shorter vectors count as
+    padded with zeros; every row is a candidate, also one of several with equal vec_id, which share their shard; equal
+    rows are one query; null ids
+    take no part; an empty table gives no rows; columns other than the two named and those in is_query are not read.
+    Products beyond 2 ** 53 are made of whole numbers; beyond 2 ** 63, which no score can hold, they are an error.
     """
-    every = quantised(vectors.select(id_col, vector_col, is_query.alias("_query")), id_col, vector_col)
-    flag = vectors.where(is_query).select(F.col(id_col).cast("bigint").alias("vec_id")).distinct()
-    every = materialise(every.groupBy("vec_id").agg(F.max("v").alias("v")), "vectors")
-    n, width, largest = every.agg(F.count("*"), F.max(F.size("v")), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x))))).first()
-    if n and largest and width * largest * largest >= EXACT:
-        raise ValueError("the inner products do not fit in 53 bits")
-    queries = every.join(flag, "vec_id", "left_semi")
-    shards = max(1, math.ceil(n / shard))
-    blocks = max(1, math.ceil(queries.count() / block))
-    width = max(width or 0, 1)
+    every = materialise(quantised(vectors.select(id_col, vector_col, is_query.alias("_query")), id_col, vector_col), "vectors")
+    n, width, largest, asked = every.agg(F.count("*"), F.max(F.size("v")), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x)))), F.count_if("_query")).first()
+    width, most = max(width or 0, 1), (width or 0) * int(largest or 0) ** 2
+    if most >= 1 << 63:
+        raise ValueError("the inner products do not fit in 64 bits")
+    kind = np.int64 if most >= EXACT else np.float64
+    queries = every.where("_query").select("vec_id", "v").distinct()
+    shards, blocks = max(1, math.ceil(n / shard)), max(1, math.ceil(asked / block))
     pick = lambda count, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(count)).cast("int")
-    trees = materialise(every.withColumn("shard", pick(shards, 1)).groupBy("shard").applyInArrow(functools.partial(_plant, width=width), "shard int, tree binary"), "trees")
-    packed = materialise(queries.withColumn("block", pick(blocks, 2)).groupBy("block").applyInArrow(functools.partial(_block, width=width), "block int, queries binary"), "queries")
+    trees = materialise(every.select("vec_id", "v", pick(shards, 1).alias("shard")).groupBy("shard").applyInArrow(functools.partial(_plant, width=width, kind=kind), "shard int, tree binary"), "trees")
+    packed = materialise(queries.select("vec_id", "v", pick(blocks, 2).alias("block")).groupBy("block").applyInArrow(functools.partial(_block, width=width, kind=kind), "block int, queries binary"), "queries")
     home = F.pmod(F.col("block"), F.lit(shards)).cast("int")
-    search = lambda pairs: pairs.select("tree", "queries", "known").repartition(max(1, min(shards * blocks, 4096))).mapInArrow(functools.partial(_search, k=k), ANSWER)
-    kind = "array<struct<query_id:bigint,vec_id:bigint,score:bigint>>"
-    first = materialise(search(packed.withColumn("shard", home).join(trees, "shard").withColumn("known", F.lit(None).cast(kind))), "first")
-    known = first.join(queries.select(F.col("vec_id").alias("query_id"), pick(blocks, 2).alias("block")), "query_id").groupBy("block").agg(F.collect_list(F.struct("query_id", "vec_id", "score")).alias("known"))
+    salts = math.ceil(blocks / VISITS)
+    array = "array<struct<query_id:bigint,vec_id:bigint,score:bigint>>"
+    planted = trees.select("shard", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "tree", F.lit(None).cast("binary").alias("queries"), F.lit(None).cast(array).alias("known"))
+
+    def search(visits: DataFrame) -> DataFrame:
+        rows = visits.select("shard", (F.col("block") % salts).alias("salt"), F.lit(None).cast("binary").alias("tree"), "queries", "known").unionByName(planted)
+        return rows.repartition("shard", "salt").sortWithinPartitions("shard", "salt", F.col("tree").isNull()).select("tree", "queries", "known").mapInArrow(functools.partial(_search, k=k), ANSWER)
+
+    first = materialise(search(packed.withColumn("shard", home).withColumn("known", F.lit(None).cast(array)).join(trees.select("shard"), "shard", "left_semi")), "first")
+    known = first.join(queries.select(F.col("vec_id").alias("query_id"), pick(blocks, 2).alias("block")).distinct(), "query_id").groupBy("block").agg(F.collect_list(F.struct("query_id", "vec_id", "score")).alias("known"))
     others = packed.join(known, "block", "left").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where(F.col("shard") != home)
-    found = first.unionByName(search(others.join(trees, "shard"))) if shards > 1 else first
+    found = first.unionByName(search(others.join(trees.select("shard"), "shard", "left_semi"))) if shards > 1 else first
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -93,6 +93,19 @@ def _grades(rows: list[tuple[int, dict[int, int]]]) -> np.ndarray:
     return np.where([bool(y) for y, _ in rows], 1 + np.digitize(held, [6, 16]), 0)
 
 
+def likelihood_slopes(up: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of -log P(grade = y) by (score - cut) of each threshold, with up = P(grade >= k): P(grade = y) is the difference of
+    two neighbouring ones, so only the thresholds on either side of the grade have a slope."""
+    every = np.hstack([np.ones((len(y), 1)), up, np.zeros((len(y), 1))])
+    at = np.arange(len(y))
+    own = np.maximum(every[at, y] - every[at, y + 1], 1e-9)
+    slope = every * (1 - every)
+    out = np.zeros_like(every)
+    out[at, y] -= slope[at, y] / own
+    out[at, y + 1] += slope[at, y + 1] / own
+    return out[:, 1:-1]
+
+
 def fit(rows: list[tuple[int, dict[int, int]]], words: list[str]) -> OrdinalModel:
     """Adam over all rows on the ordinal likelihood; without both kinds of labels every text is clean."""
     y = _grades(rows)
@@ -103,11 +116,10 @@ def fit(rows: list[tuple[int, dict[int, int]]], words: list[str]) -> OrdinalMode
     row, col, x = (np.array(c) for c in zip(*entries, strict=True)) if entries else (np.zeros(0, int),) * 3
     w, cuts = np.zeros(len(words)), np.array([0.5, 1.5, 2.5][: GRADES - 1]) - np.log(max(share, 1e-3))
     state = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(cuts), np.zeros_like(cuts)]
-    reached = y[:, None] >= np.arange(1, GRADES)[None, :]
     for t in range(1, PASSES + 1):
         s = np.bincount(row, x * w[col], len(y))
-        # cumulative logits: the gradient of each threshold's own likelihood, all sharing w
-        g = (1 / (1 + np.exp(np.clip(cuts[None, :] - s[:, None], -40, 40))) - reached) / len(y)
+        up = 1 / (1 + np.exp(np.clip(cuts[None, :] - s[:, None], -40, 40)))
+        g = likelihood_slopes(up, y) / len(y)
         gw, gc = np.bincount(col, x * g.sum(1)[row], len(w)) + LASSO, -g.sum(0)
         for k, (p, d) in enumerate(((w, gw), (cuts, gc))):
             state[2 * k] = 0.9 * state[2 * k] + 0.1 * d
@@ -115,6 +127,7 @@ def fit(rows: list[tuple[int, dict[int, int]]], words: list[str]) -> OrdinalMode
             p -= RATE * (state[2 * k] / (1 - 0.9**t)) / (np.sqrt(state[2 * k + 1] / (1 - 0.99**t)) + 1e-8)
         np.maximum(w, 0, out=w)  # words only add to the severity, so that it doesn't fall with a text's length
         cuts.sort()
+        cuts[1:] = np.maximum(cuts[1:], cuts[:-1] + 0.05)  # a grade between two equal cuts would have no probability
     return OrdinalModel(words, w, cuts)
 
 
@@ -138,7 +151,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     apart = (F.col("hot") - share * F.col("held")) / F.sqrt(F.col("held") * max(share * (1 - share), 1e-9))
     words = [r["feature"] for r in held.where((F.col("held") >= LEAST) & (apart >= APART)).orderBy(apart.desc(), "feature").limit(VOCABULARY).collect()]
     vectors = some.mapInArrow(functools.partial(_vectors, place={w: k for k, w in enumerate(words)}), "toxic int, at array<int>, counts array<int>")
-    rows = vectors.orderBy("toxic", "at", "counts").collect()  # at most ROWS rows of at most VOCABULARY numbers
+    # at most ROWS rows of at most VOCABULARY numbers, in an order of their own
+    rows = sorted(vectors.collect(), key=lambda r: (r["toxic"], r["at"], r["counts"]))
     return fit([(r["toxic"], dict(zip(r["at"], r["counts"], strict=True))) for r in rows], words)
 
 
