@@ -135,7 +135,7 @@ def describe(h: np.ndarray, lens: np.ndarray, similar: float) -> tuple[np.ndarra
 def _lines(batches: Iterable[pa.RecordBatch], similar: float) -> Iterator[pa.RecordBatch]:
     known = _Hashes()
     known[b"\n"] = 0
-    docs, rows, parts, held = [], [], [], 0
+    docs, rows, parts, held, told = [], [], [], 0, set()
 
     def flush() -> Iterator[pa.RecordBatch]:
         """The lines of whole documents."""
@@ -145,6 +145,12 @@ def _lines(batches: Iterable[pa.RecordBatch], similar: float) -> Iterator[pa.Rec
         of = np.repeat(np.arange(len(docs)), [np.count_nonzero(p == 0) for p in parts])
         at = np.arange(len(ends)) - np.searchsorted(of, of)
         hashes, parity, keys = describe(codes[codes != 0], lens, similar)
+        for k in np.flatnonzero(lens >= FUZZY).tolist():  # a task tells a line's keys once
+            if (x := int(hashes[k])) in told:
+                keys[k] = None
+            told.add(x)
+        if len(told) > REMEMBERED:
+            told.clear()
         yield pa.record_batch([pa.array([docs[k] for k in of.tolist()], pa.string()), pa.array([rows[k] for k in of.tolist()], pa.int64()), pa.array(at.astype(np.int32)), pa.array(hashes), pa.array(lens.astype(np.int32)), pa.array(parity), pa.array(keys, pa.list_(pa.int64()))], names=["doc", "row", "at", "hash", "words", "parity", "keys"])
 
     for batch in batches:
@@ -172,7 +178,7 @@ def _lines(batches: Iterable[pa.RecordBatch], similar: float) -> Iterator[pa.Rec
 
 def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
     """PLACES: each line, the hash of its words, how many they are, the parity of words in 64 cells, and for lines of
-    FUZZY words the keys to join on. One pass without a shuffle."""
+    FUZZY words the keys to join on (null again where a task has told them). One pass without a shuffle."""
     short_batches(docs.sparkSession)
     return _rows(docs, id_col, text_col).mapInArrow(functools.partial(_lines, similar=similar), PLACES)
 
@@ -214,9 +220,10 @@ def _may_link(similar: float, a: str = "_a", b: str = "_b") -> Column:
 def crowded(table: DataFrame, kinds: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """(key, hash, words, parity, nth, star): the different lines of keys that several have, numbered. star is the first
     line of the key or the one before, if it may be similar."""
-    once = table.where("keys is not null").groupBy("hash").agg(F.first("keys").alias("keys"))
     order = Window.partitionBy("key").orderBy("hash")
-    rows = once.select("hash", F.explode("keys").alias("key")).select("key", "hash", F.lag("hash").over(order).alias("before"), F.lead("hash").over(order).alias("after"))
+    # a line comes once from each task that has it; one shuffle by key serves the grouping and the window
+    once = table.where("keys is not null").select("hash", F.explode("keys").alias("key")).repartition("key").groupBy("key", "hash").agg(F.lit(1))
+    rows = once.select("key", "hash", F.lag("hash").over(order).alias("before"), F.lead("hash").over(order).alias("after"))
     facts = rows.where("before is not null or after is not null").select("key", "hash").join(kinds.select("hash", "words", "parity"), "hash")
     line = F.struct("hash", "words", "parity")
     near = facts.select("key", "hash", "words", "parity", F.row_number().over(order).alias("nth"), F.first(line).over(order).alias("one"), F.lag(line).over(order).alias("before"))

@@ -58,6 +58,10 @@ def test_language_model(spark, rows, monkeypatch):
     want = sorted((str(i), i is None or zlib.crc32(str(i).encode()) % 10 == 0, len(tokens(t)), sum(counts[w] > 0 for w in tokens(t)), round(base(t), 6), n) for i, t in rows)
     assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, round(r.base_score, 6), r.train_tokens) for r in got) == want
     assert all(math.isfinite(r.score) and r.score <= 0 for r in got)
+    # one text for each known word and one unknown word: behind the same context these are all the words there are
+    alone = lm.score(table(spark, rows + [(10_000_000 + 10 * k, w.decode()) for k, w in enumerate([*counts, b"neverseen"]) if w != lm.END]))
+    held = [r for r in alone.collect() if r.doc_id is not None and r.doc_id >= 10_000_000 and r.held_out]
+    assert held and sum(10**r.score for r in held) < 1
     assert lm.score(empty(spark)).count() == 0
 
 
@@ -143,7 +147,16 @@ def test_licenses_wrapped_over_lines(spark):
     assert out[1] == ("mit", 1.0) and out[2] == ("", 0.0) and out[3][0] == "apache"
 
 
-def test_topk(spark):
+def test_topk_of_repeated_ids_and_large_numbers(spark):
+    big = float(2**22)
+    data = [(0, [big, 1.0]), (1, [big, 1.0]), (1, [big, 1.0]), (1, [0.0, 2.0]), (2, [big, 1.0 + 1 / 256]), (3, [-big, 0.0]), (None, [big, big])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    fine = [(i, [math.floor(256 * x) for x in v]) for i, v in data if i is not None]
+    want = sorted((-sum(a * b for a, b in zip(fine[0][1], v, strict=True)), i) for i, v in fine if i != 0)
+    assert -want[0][0] > topk.EXACT and [(r.vec_id, r.score) for r in topk.top_k(df, df.vec_id == 0).orderBy("rank").collect()] == [(i, -s) for s, i in want]
+
+
+def test_topk(spark, monkeypatch):
     rng = np.random.default_rng(5)
     data = [(int(k), [float(x) for x in rng.normal(0, 0.2, 6).astype(np.float32)]) for k in range(300)]
     data += [(k, data[4][1]) for k in range(300, 340)]  # equal vectors: ties go to the smaller id
@@ -154,7 +167,8 @@ def test_topk(spark):
     for q in (k for k in fine if k % 50 == 0):
         best = sorted((-int(fine[q] @ fine[c]), c) for c in fine if c != q)[:5]
         want += [(q, n, c, -s) for n, (s, c) in enumerate(best, 1)]
-    for shard, block in ((40, 3), (10_000, 512)):
+    for shard, block, visits in ((40, 3, 64), (40, 3, 2), (10_000, 512, 64)):
+        monkeypatch.setattr(topk, "VISITS", visits)
         got = topk.top_k(df, df.vec_id % 50 == 0, shard=shard, block=block)
         assert sorted(map(tuple, got.collect())) == sorted(want)
     assert topk.top_k(df.limit(0), df.vec_id % 50 == 0).count() == 0
@@ -200,7 +214,7 @@ def test_contamination(spark, rows, monkeypatch, block):
     monkeypatch.setattr(contamination, "SHARD_BYTES", 2000)
     items = [(1, rows[5][1]), (2, "kan lota"), (3, None), (4, ""), (5, " ".join(rows[9][1].split()[3:20]).upper()), (6, "never seen words at all"), (2, "kan lota"), (7, rows[43][1][200:700])]
     tests = spark.createDataFrame([(i, t, 0) for i, t in items], "item_id long, text string, n_words int")
-    docs = [r for r in rows if r[0] != 7] + [(200, "x " * 30 + rows[5][1] + " y" * 30)]
+    docs = rows + [(200, "x " * 30 + rows[5][1] + " y" * 30), (200, "z " * 60 + " ".join("q" for _ in rows[5][1].split()))]
     got = contamination.contamination(table(spark, docs), tests)
     assert by_row(got, "doc_id", "n_words", "n_hit", "items", "contaminated") == [tuple(x) for x in brute_windows(docs, items)]
     assert all(set(r["items"]) <= set(r["near"]) | {"2"} for r in got.collect())
@@ -234,6 +248,22 @@ def test_toxicity(spark):
     assert not any(r.toxic for r in toxicity.toxicity(df, toxicity.train(df, known.limit(0))).collect())
 
 
+def test_ordinal_slopes_are_the_likelihoods():
+    rng = np.random.default_rng(3)
+    cuts, s, y = np.array([-1.0, 0.3, 1.2]), rng.normal(0, 1, 8), np.arange(8) % 4
+    up = lambda c: 1 / (1 + np.exp(c[None, :] - s[:, None]))
+
+    def loss(c):
+        every = np.hstack([np.ones((8, 1)), up(c), np.zeros((8, 1))])
+        return -np.log(every[np.arange(8), y] - every[np.arange(8), y + 1])
+
+    slopes = toxicity.likelihood_slopes(up(cuts), y)
+    for k in range(3):
+        step = np.zeros(3)
+        step[k] = 1e-6
+        assert np.allclose(-slopes[:, k], (loss(cuts + step) - loss(cuts - step)) / 2e-6, atol=1e-4)
+
+
 # --- 7
 @pytest.fixture(scope="module")
 def vocabulary():
