@@ -31,14 +31,21 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SOME = re.compile(r"[0-9@]")
 SPELLED = re.compile(r"[(\[][Aa][Tt][)\]]")
-#: Lines with a digit, an @ or a spelled-out one: without any, a line holds no entity.
-LINE = re.compile(r"[^\n]*(?:[0-9@]|[(\[][Aa][Tt][)\]])[^\n]*")
+# A spelled-out part of an address; a line without one has candidates by their own letters only.
+BRACKETED = re.compile(r"[(\[](?:[Aa][Tt]|[Dd][Oo][Tt])[)\]]")
 
 #: Tokens of a span at most.
 LONGEST = 6
 #: Generated sentences and passes of training, step and ridge.
 SENTENCES, PASSES, RATE, RIDGE = 600, 8, 0.5, 1e-4
 TOKEN = re.compile(r"[^\s,;:!?\"<>|]+")
+GAP = re.compile(r"[\s,;:!?\"<>|]*+")
+#: Tokens that candidate() takes, in a line without spelled-out parts; each letter is looked at once.
+CANDIDATE = re.compile(r"(?<![^\s,;:!?\"<>|])(?:[^\s,;:!?\"<>|0-9@]*+[0-9@][^\s,;:!?\"<>|]*+|[-()](?![^\s,;:!?\"<>|]))")
+#: What spans look like to the features: letters by case, and digits.
+MASK = str.maketrans(string.ascii_lowercase + string.ascii_uppercase + string.digits, "a" * 26 + "A" * 26 + "9" * 10)
+#: Masked spans whose scores a worker remembers, and the longest of them.
+REMEMBERED, SHORT = 100_000, 120
 
 Span = tuple[int, int, str]
 
@@ -87,18 +94,28 @@ def shape(token: str) -> str:
     return re.sub(r"([Aa9])\1{4,}", r"\1\1\1\1+", re.sub(r"[0-9]", "9", re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", out))))
 
 
-def segment_features(tokens: list[str], begin: int, end: int, kind: str) -> list[str]:
-    piece = tokens[begin:end]
+def checked(whole: str) -> bool:
+    """Whether a span is 14 digits or more that pass Luhn, with blanks and hyphens at most."""
+    digits = sum(map(str.isdigit, whole)) if len(whole) >= 14 else 0
+    return digits >= 14 and whole.replace(" ", "").replace("-", "").isdigit() and luhn(re.sub("[^0-9]", "", whole))
+
+
+@functools.lru_cache(1 << 14)
+def parts(piece: tuple[str, ...]) -> tuple[str, ...]:
+    """A span's features, whatever its kind. They depend on MASK's image of it, on "(at)" and on checked() alone."""
     whole = " ".join(piece).rstrip(".")
     digits = sum(c.isdigit() for c in whole)
     marks = "".join(sorted({c for c in whole if not c.isalnum() and c != " "}))
     upper, lower = any(c.isupper() for c in whole), any(c.islower() for c in whole)
-    parts = (
-        "bias", f"n{end - begin}", f"d{digits if digits < 20 else 20}", f"m{marks}", f"s{shape(whole)}"[:60], f"u{upper}l{lower}d{digits > 0}",
-        f"len{min(len(whole) // 4, 12)}", f"dots{whole.count('.')}", f"at{'@' in whole or '(at)' in whole.lower()}", f"luhn{digits >= 14 and whole.replace(' ', '').replace('-', '').isdigit() and luhn(re.sub('[^0-9]', '', whole))}",
+    return (
+        "bias", f"n{len(piece)}", f"d{digits if digits < 20 else 20}", f"m{marks}", f"s{shape(whole)}"[:60], f"u{upper}l{lower}d{digits > 0}",
+        f"len{min(len(whole) // 4, 12)}", f"dots{whole.count('.')}", f"at{'@' in whole or '(at)' in whole.lower()}", f"luhn{checked(whole)}",
         f"b{shape(piece[0])}"[:20], f"e{shape(piece[-1])}"[:20],
     )
-    return [f"{kind}:{p}" for p in parts]
+
+
+def segment_features(tokens: list[str], begin: int, end: int, kind: str) -> list[str]:
+    return [f"{kind}:{p}" for p in parts(tuple(tokens[begin:end]))]
 
 
 class SemiCRF:
@@ -106,6 +123,7 @@ class SemiCRF:
 
     def __init__(self, weights: dict[str, float]):
         self.weights = weights
+        self.known: dict[tuple[str, bool, bool], tuple[float, str]] = {}
 
     def score(self, tokens: list[str], begin: int, end: int, kind: str) -> float:
         get = self.weights.get
@@ -123,13 +141,34 @@ class SemiCRF:
         """For each end, the spans that end there."""
         return [[], *(self.spans(tokens, end) for end in range(1, len(tokens) + 1))]
 
+    def best_kind(self, tokens: list[str], begin: int, end: int, key: tuple[str, bool, bool]) -> tuple[float, str]:
+        """The score and kind of the best entity in a span; remembered by what its features depend on."""
+        if (found := self.known.get(key)) is None:
+            found = max(((self.score(tokens, begin, end, kind), kind) for kind in KINDS), key=lambda x: x[0])
+            if len(key[0]) <= SHORT:
+                if len(self.known) >= REMEMBERED:
+                    self.known.clear()
+                self.known[key] = found
+        return found
+
     def decode(self, tokens: list[str]) -> list[tuple[int, int, str]]:
-        """The best segmentation's entities; in time and memory that grow with the run."""
+        """The best segmentation's entities, as spans() gives them; in time and memory that grow with the run."""
         best, back = [0.0], [(0, "none")]
+        masks, low = [t.translate(MASK) for t in tokens], [t.lower() for t in tokens]
+        held = [bool(SOME.search(t)) or x in ("(at)", "[at]") for t, x in zip(tokens, low, strict=True)]
         for end in range(1, len(tokens) + 1):
-            top = max(((best[b] + s, b, k) for b, k, s in self.spans(tokens, end)), key=lambda x: (x[0], -x[1]))
+            top = (best[end - 1] + self.score(tokens, end - 1, end, "none"), 1 - end, "none")
+            mask = whole = ""
+            some = spelled = False
+            for begin in range(end - 1, max(0, end - LONGEST) - 1, -1):
+                mask, whole = (f"{masks[begin]} {mask}", f"{tokens[begin]} {whole}") if whole else (masks[begin], tokens[begin])
+                some, spelled = some or held[begin], spelled or "(at)" in low[begin]
+                if some:
+                    score, kind = self.best_kind(tokens, begin, end, (mask, spelled, checked(whole.rstrip("."))))
+                    if (best[begin] + score, -begin) > top[:2]:
+                        top = (best[begin] + score, -begin, kind)
             best.append(top[0])
-            back.append(top[1:])
+            back.append((-top[1], top[2]))
         at, found = len(tokens), []
         while at:
             begin, kind = back[at]
@@ -221,27 +260,51 @@ def added_spans(text: str, base: list[Span], model: SemiCRF) -> list[Span]:
     out: list[Span] = []
     taken = sorted((b, e) for b, e, _ in base)
     at = -1
-    for line in LINE.finditer(text):
-        run: list[re.Match] = []
-        tokens = [*TOKEN.finditer(text, line.start(), line.end())]
-        for k, m in enumerate([*tokens, None]):
-            # a word before "(at)" belongs to the address, so it is a candidate as well
-            near = m and any(t.group().lower() in ("(at)", "[at]", "(dot)", "[dot]") for t in tokens[max(0, k - 1) : k + 2])
-            if m and (near or candidate(m.group())):
-                run.append(m)
-                continue
-            if run and any(SOME.search(x.group()) or SPELLED.search(x.group()) for x in run):
-                for b, e, kind in model.decode([x.group() for x in run]):
-                    begin, end = run[b].start(), run[e - 1].end()
-                    while end > begin and text[end - 1] in ".":
-                        end -= 1
-                    if end > max(begin, at) and not any(x < end and begin < y for x, y in taken):
-                        out.append((begin, end, kind))
-                        at = end
-            run = []
+    for run in _runs(text):
+        for b, e, kind in model.decode([text[x:y] for x, y in run]):
+            begin, end = run[b][0], run[e - 1][1]
+            while end > begin and text[end - 1] in ".":
+                end -= 1
+            if end > max(begin, at) and not any(x < end and begin < y for x, y in taken):
+                out.append((begin, end, kind))
+                at = end
     return out
 
 
+def _runs(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Neighbouring candidate tokens of a line, where one has a digit, an @ or a spelled-out one."""
+    line = 0
+    while line <= len(text):
+        end = text.find("\n", line)
+        end = len(text) if end < 0 else end
+        if SOME.search(text, line, end) or SPELLED.search(text, line, end):
+            run: list[tuple[int, int]] = []
+            for x, y in _candidates(text, line, end):
+                if run and not GAP.fullmatch(text, run[-1][1], x):
+                    yield from [run] * _holds(text, run)
+                    run = []
+                run.append((x, y))
+            yield from [run] * _holds(text, run)
+        line = end + 1
+
+
+def _candidates(text: str, line: int, end: int) -> Iterator[tuple[int, int]]:
+    """The places of a line's candidate tokens; words next to a spelled-out part of an address belong to it."""
+    if not BRACKETED.search(text, line, end):
+        yield from (m.span() for m in CANDIDATE.finditer(text, line, end))
+        return
+    before, now = False, None
+    for m in [*TOKEN.finditer(text, line, end), None]:
+        part = bool(m) and bool(BRACKETED.fullmatch(m.group()))
+        if now and (before or part or candidate(now.group())):
+            yield now.span()
+        before, now = bool(now) and bool(BRACKETED.fullmatch(now.group())), m
+
+
+def _holds(text: str, run: list[tuple[int, int]]) -> bool:
+    return any(SOME.search(text, x, y) or SPELLED.search(text, x, y) for x, y in run)
+
+
 FOUND = "doc_id bigint, base array<struct<begin:bigint, end:bigint, kind:string>>, added array<struct<begin:bigint, end:bigint, kind:string>>"
 
 
