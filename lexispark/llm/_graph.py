@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._tables import materialise
+from ._tables import materialise, release
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -23,6 +23,7 @@ def components(links: DataFrame) -> DataFrame:
         jump = label.select(F.col("node").alias("c"), F.col("component").alias("further"))
         moved = materialise(spread.join(jump, "c", "left").select("node", F.least("c", "further").alias("component"), "old"), "labels")
         changed = moved.where("component <> old").limit(1).count()
+        release(links.sparkSession, label, *[both] * (not changed))
         label = moved.select("node", "component")
         if not changed:
             return label

@@ -59,6 +59,17 @@ def forget(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
 
 
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Deletes written tables that nothing reads any more, and has the driver collect its garbage, so that Spark's cleaner
+    deletes the shuffle files of writes that have ended; else these stay on the executors' disks until the driver's heap
+    happens to fill."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for folder in {f.rsplit("/", 1)[0] for table in tables for f in table.inputFiles()}:
+        path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path(folder), True)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """df written once as Parquet in the shared folder and read again: it cuts the lineage, outlives a lost
     executor, and what a task numbered (chunk ids) never changes in a later attempt."""

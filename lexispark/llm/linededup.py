@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._graph import components
-from ._tables import lean, materialise, short_batches
+from ._tables import lean, materialise, release, short_batches
 from .neardup import _Hashes, _mix
 
 #: Edit similarity (1 - distance / longer length, both in words) from which lines are linked; one edit is always allowed.
@@ -266,30 +266,43 @@ def linked(pairs: DataFrame, norms: DataFrame, similar: float) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
-    """(doc, row, gone): the positions of each document's lines that go, because their group's first line stays."""
+    """(doc, row, gone): the positions of each document's lines that go, because their group's first line stays. A written
+    table; those on the way to it are deleted."""
+    spark = docs.sparkSession
     table = materialise(line_table(docs, id_col, text_col, similar), "line-places").where(F.col("words") >= LEAST)
     place = F.struct("doc", "row", "at")
     kinds = materialise(table.groupBy("hash").agg(F.min(place).alias("first"), F.min("words").alias("words"), F.count("*").alias("times"), F.min("parity").alias("parity")), "line-kinds")
+    release(spark)
     keys = materialise(crowded(table.select("hash", "keys"), kinds, similar), "line-keys")
+    # the table's keys are most of it and have served
+    places = materialise(table.select("doc", "row", "at", "hash"), "line-places")
+    release(spark, table)
     stars = materialise(keys.where("star is not null").groupBy(F.col("hash").alias("b")).agg(F.min("star").alias("a")).select("a", "b"), "line-stars")
     ends = lambda pairs: pairs.select(F.col("a").alias("hash")).union(pairs.select(F.col("b").alias("hash")))
     in_stars = materialise(ends(stars).distinct(), "line-stars")
     # pairs with a line that has no star; those of two lines with one follow when the stars are verified
     lonely = materialise(near_pairs(keys, in_stars.select(F.col("hash").alias("node"), F.lit(0).cast("bigint").alias("component")), similar), "line-pairs")
+    release(spark)
     norms = materialise(line_words(docs, kinds, in_stars.union(ends(lonely)).distinct(), id_col, text_col), "line-words")
+    release(spark)
     links = materialise(linked(stars, norms, similar), "line-links")
-    others = near_pairs(keys.join(in_stars, "hash", "left_semi"), components(links), similar)
+    near = components(links)
+    others = materialise(near_pairs(keys.join(in_stars, "hash", "left_semi"), near, similar), "line-pairs")
+    release(spark, keys, near, stars, in_stars)
     more = materialise(linked(lonely.union(others), norms, similar), "line-links")
+    release(spark, lonely, others, norms)
     label = components(links.union(more)).withColumnRenamed("node", "hash")
     grouped = kinds.join(label, "hash", "left").where("times > 1 or component is not null").withColumn("group", F.coalesce("component", "hash"))
     owner = grouped.groupBy("group").agg(F.min("first").alias("owner"))
     owned = materialise(grouped.select("hash", "times", "group").join(owner, "group").select("hash", "times", "owner"), "line-owners")
     total = kinds.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0]
-    places, often = table.select("doc", "row", "at", "hash"), F.col("times") * HEAVY > total
+    often = F.col("times") * HEAVY > total
     heavy = F.broadcast(owned.where(often).select("hash", "owner"))
     rest = places.join(heavy.select("hash"), "hash", "left_anti").join(owned.where(~often).select("hash", "owner"), "hash")
     gone = places.join(heavy, "hash").unionByName(rest).where(~place.eqNullSafe(F.col("owner")))
-    return gone.groupBy("doc", "row").agg(F.collect_set("at").alias("gone"))
+    out = materialise(gone.groupBy("doc", "row").agg(F.collect_set("at").alias("gone")), "line-gone")
+    release(spark, places, kinds, links, more, label, owned)
+    return out
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
@@ -304,7 +317,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows. Columns of docs stay, except those beginning with _n_ or named _doc, _row and _gone.
     """
     own = docs.drop("_n_lines", "_n_gone", "_doc", "_row", "_gone")
-    gone = materialise(removed_lines(docs, id_col, text_col, similar).select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("gone").alias("_gone")), "line-gone")
+    gone = removed_lines(docs, id_col, text_col, similar).select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("gone").alias("_gone"))
     text = F.col(text_col).cast("string")
     keyed = own.withColumn("_k", F.xxhash64(F.col(id_col), text))
     size = gone.agg(F.coalesce(F.sum(F.length("_doc") + 8 * F.size("_gone") + 64), F.lit(0))).first()[0]
