@@ -11,19 +11,29 @@ from ._tables import materialise, release
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for each node of the links (a, b).
 
-    Labels spread along links and then jump to their label's label, so rounds grow with the logarithm of a
-    component's width. Each round is a written table; minima are taken on the map side, so a node of many links sends
-    few rows on. Nothing is collected but the number of changes.
+    In each round, nodes join their neighbour that comes first in an order of that round, or the one that this one
+    joins, and the links are told anew between the nodes that are left: links grow fewer by a factor each round, whatever
+    their shape and names, so that all rounds together read a few times the links. Each round is a written table; a
+    node of many links sends few rows on, as minima are taken on the map side. Nothing is collected but whether links
+    are left.
     """
-    both = materialise(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "links")
-    label = materialise(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("component")), "labels")
-    while True:
-        near = both.join(label.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("m"))
-        spread = label.join(near, "node").select("node", F.least("component", "m").alias("c"), F.col("component").alias("old"))
-        jump = label.select(F.col("node").alias("c"), F.col("component").alias("further"))
-        moved = materialise(spread.join(jump, "c", "left").select("node", F.least("c", "further").alias("component"), "old"), "labels")
-        changed = moved.where("component <> old").limit(1).count()
-        release(links.sparkSession, label, *[both] * (not changed))
-        label = moved.select("node", "component")
-        if not changed:
-            return label
+    spark = links.sparkSession
+    pairs = links.select("a", "b").union(links.select("b", "a")).where("a <> b")
+    edges = materialise(pairs.distinct(), "links")
+    label, turn = materialise(edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct(), "labels"), 0
+    while edges.limit(1).count():
+        place = lambda c: F.xxhash64(c, F.lit(turn))  # noqa: B023, E731
+        first = edges.groupBy("a").agg(F.min_by("b", place("b")).alias("b")).select("a", F.when(place("b") < place("a"), F.col("b")).otherwise(F.col("a")).alias("to"))
+        step = materialise(first, "steps")
+        ahead = step.select(F.col("a").alias("to"), F.col("to").alias("further"))
+        goes = materialise(step.join(ahead, "to").select("a", F.col("further").alias("to")), "steps")
+        ends = [goes.select(F.col("a").alias(c), F.col("to").alias(f"to_{c}")) for c in ("a", "b")]
+        left = edges.join(ends[0], "a").join(ends[1], "b").where("to_a <> to_b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b"))
+        fewer = materialise(left.distinct(), "links")
+        moved = materialise(label.join(goes.select(F.col("a").alias("root"), "to"), "root", "left").select("node", F.coalesce("to", "root").alias("root")), "labels")
+        release(spark, edges, label, step, goes)
+        edges, label, turn = fewer, moved, turn + 1
+    low = label.groupBy("root").agg(F.min("node").alias("component"))
+    out = materialise(label.join(low, "root").select("node", "component"), "labels")
+    release(spark, edges, label)
+    return out

@@ -7,29 +7,26 @@ compared and not the totals' signs, which would only merge values, more and more
 with few blocks, those with an empty one, and of all lines those of few different words, have their first k + 1 distinct words as keys too, so that every pair at the limit
 is a candidate. Lines with many blocks leave out blocks of a word or two, which a common word would crowd: about 16 words
 thrown at 17 blocks leave 6 as they were, and all of these are that small once in 100,000 pairs at the limit (of 9 blocks,
-once in 10,000; in pairs below the limit, less). Candidates whose parities of words in 64 cells differ in more than two cells an edit are further apart than the
-limit and go at once; the others are verified by edit similarity, but those whose lines are in one group already.
+once in 10,000; in pairs below the limit, less).
 
-Joins, pruning, edit similarity and components are DataFrame functions. The lines' words and blocks are made by numpy on
-Arrow batches: as built-in functions of arrays they alone took 690 CPU seconds a GB, of a limit of 400 for all.
+Groups are wanted, not pairs. So each line of a key is first compared with a few lines of the key only, as many pairs as
+lines; the groups that these links make are contracted, and all pairs of a key's lines that are still in different groups
+follow, whose links are told once for two groups. Candidates whose parities of words in 256 cells differ in more than two
+cells an edit are further apart than the limit and go at once; the others are verified by edit similarity.
+
+All of it is DataFrame functions. Blocks are totals over exploded words, where a shuffle by line has already put a line's
+words, so that these are never shuffled as rows.
 """
 
 from __future__ import annotations
 
-import functools
 import math
-import re
-from collections.abc import Iterable, Iterator
-from itertools import islice
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._graph import components
-from ._tables import lean, materialise, release, short_batches
-from .neardup import _Hashes, _mix
+from ._tables import materialise, release
 
 #: Edit similarity (1 - distance / longer length, both in words) from which lines are linked; one edit is always allowed.
 SIMILAR = 0.9
@@ -39,8 +36,10 @@ LEAST, FUZZY = 2, 9
 STEPS, GROWTH = 8, 1.25
 #: Words of a block that is a key: edits that a line is blocked for, from which so many are asked for.
 FULL = ((8, 3), (4, 2), (0, 1))
-#: Words held at once while a table of lines is made (or those of one line, if they are more); words a worker remembers.
-HELD, REMEMBERED = 1 << 20, 200_000
+#: Lines of a key that each of its lines is compared with before groups are contracted, besides the one with most company.
+PIVOTS = 2
+#: Longs of a line's parities, of 64 cells each.
+PARITIES = 4
 #: Bytes of removed lines' places up to which they are broadcast; beyond, texts are shuffled to them.
 BROADCAST = 32 << 20
 #: Lines of a part of a key; of a larger key each two parts are compared in a cell of their own.
@@ -49,9 +48,8 @@ PART = 1024
 HEAVY = 4096
 
 
-WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
-WORD_OR_END = re.compile(rb"[a-z0-9\x80-\xff]+|\n")
-PLACES = "doc string, row bigint, at int, hash bigint, words int, parity bigint, keys array<bigint>"
+#: What parts words once a text is in lower case, but line feeds.
+BETWEEN = r"[\x00-\x09\x0B-/:-`{-\x7F]+"
 
 
 def edits(words: Column, similar: float) -> Column:
@@ -59,15 +57,11 @@ def edits(words: Column, similar: float) -> Column:
     return F.greatest(F.lit(1), F.floor((1 - similar) * words + 1e-9).cast("int"))
 
 
-def edits_of(words: np.ndarray, similar: float) -> np.ndarray:
-    return np.maximum(1, np.floor((1 - similar) * words + 1e-9).astype(np.int64))
-
-
-def level(k: np.ndarray) -> np.ndarray:
+def level(k: Column) -> Column:
     """The number of edits that pairs at k edits are blocked for. A line's own level and those of all longer lines that
     are similar to it are at most two, as these lines' edits are fewer than GROWTH times its own."""
-    up = np.ceil(np.log(np.maximum(k, 1) / STEPS) / math.log(GROWTH) - 1e-9)
-    return np.where(k <= STEPS, k, np.ceil(STEPS * GROWTH**up - 1e-6).astype(np.int64))
+    up = F.ceil(F.log(k / STEPS) / math.log(GROWTH) - 1e-9)
+    return F.when(k <= STEPS, k).otherwise(F.ceil(STEPS * F.pow(F.lit(GROWTH), up) - 1e-6).cast("int"))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -76,180 +70,103 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("string").alias("doc"), F.xxhash64(F.col(id_col), text).alias("row"), text.alias("text"))
 
 
-def block_keys(h: np.ndarray, line: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(line, key): of each line a key for each of 2 k + 1 blocks that holds as many words as FULL says, by the line's
-    level, the block's number and the total of its words' hashes. line numbers each word's line, k each line's edits."""
-    n = 2 * k + 1
-    first = np.cumsum(n) - n
-    at = first[line] + (((h >> np.uint64(33)) * n[line].astype(np.uint64)) >> np.uint64(31)).astype(np.int64)
-    total, held = np.zeros(int(n.sum()), np.uint64), np.bincount(at, minlength=int(n.sum()))
-    np.add.at(total, at, h)
-    owner = np.repeat(np.arange(len(n)), n)
-    full = np.select([k >= least for least, _ in FULL], [words for _, words in FULL])
-    good = np.flatnonzero(held >= full[owner])
-    name = n[owner[good]].astype(np.uint64) << np.uint64(32) | (good - first[owner[good]]).astype(np.uint64)
-    keys, owner_of = _mix(total[good] + _mix(name)), owner[good]
-    # lines of few blocks with an empty one, and lines of fewer different words than twice their blocks (by the cells that
-    # the words are in): the other blocks may be all that two lines don't share
-    kept, cells = np.bincount(owner_of, minlength=len(n)), np.zeros(len(n), np.uint64)
-    np.bitwise_or.at(cells, line, np.uint64(1) << (h & np.uint64(63)))
-    taken = np.bitwise_count(cells).astype(float)
-    different = np.where(taken < 60, -64 * np.log1p(-np.minimum(taken, 60) / 64), np.inf)
-    bare = np.flatnonzero(np.where(k < FULL[-2][0], kept < n, different < 2 * n))
-    begin = np.searchsorted(line, [bare, bare + 1])
-    more = [np.unique(h[a:b])[: k[x] + 1] + np.uint64(k[x]) for x, a, b in zip(bare.tolist(), *begin.tolist(), strict=True)]
-    return np.concatenate([owner_of, np.repeat(bare, [len(m) for m in more])]), np.concatenate([keys, *map(_mix, more)])
-
-
-def describe(h: np.ndarray, lens: np.ndarray, similar: float) -> tuple[np.ndarray, np.ndarray, list]:
-    """Of lines with lens words each, whose hashes are h: the hash of a line, its parity, and its keys (or None)."""
-    line = np.repeat(np.arange(len(lens)), lens)
-    place = (np.arange(len(h)) - np.repeat(np.cumsum(lens) - lens, lens)).astype(np.uint64)
-    total, parity = np.zeros(len(lens), np.uint64), np.zeros(len(lens), np.uint64)
-    np.add.at(total, line, _mix(h + place * np.uint64(0x9E3779B97F4A7C15)))
-    np.bitwise_xor.at(parity, line, np.uint64(1) << (h & np.uint64(63)))
-    fuzzy = np.flatnonzero(lens >= FUZZY)
-    keys = np.full(len(lens), None, object)
-    if len(fuzzy):
-        mine = np.repeat(lens >= FUZZY, lens)
-        own = level(edits_of(lens[fuzzy], similar))
-        # the level of the line's own edits, and the one of the longest line that is similar to it
-        most = level(edits_of(np.floor(lens[fuzzy] / similar + 1e-9), similar))
-        number, words = np.repeat(np.arange(len(fuzzy)), lens[fuzzy]), h[mine]
-        two = np.flatnonzero(most > own)
-        back = np.full(len(fuzzy), -1)
-        back[two] = np.arange(len(two))
-        inside = back[number] >= 0
-        parts = [block_keys(words, number, own)]
-        if len(two):
-            at, found = block_keys(words[inside], back[number[inside]], most[two])
-            parts.append((two[at], found))
-        at, found = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(at, kind="stable")
-        for x, some in zip(fuzzy.tolist(), np.split(found[order], np.cumsum(np.bincount(at, minlength=len(fuzzy)))[:-1]), strict=True):
-            keys[x] = np.unique(some).view(np.int64)
-    return _mix(total + lens.astype(np.uint64)).view(np.int64), parity.view(np.int64), keys.tolist()
-
-
-@lean
-def _lines(batches: Iterable[pa.RecordBatch], similar: float) -> Iterator[pa.RecordBatch]:
-    known = _Hashes()
-    known[b"\n"] = 0
-    docs, rows, parts, held, told = [], [], [], 0, set()
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        """The lines of whole documents."""
-        codes = np.concatenate(parts)
-        ends = np.flatnonzero(codes == 0)
-        lens = np.diff(ends, prepend=-1) - 1
-        of = np.repeat(np.arange(len(docs)), [np.count_nonzero(p == 0) for p in parts])
-        at = np.arange(len(ends)) - np.searchsorted(of, of)
-        hashes, parity, keys = describe(codes[codes != 0], lens, similar)
-        for k in np.flatnonzero(lens >= FUZZY).tolist():  # a task tells a line's keys once
-            if (x := int(hashes[k])) in told:
-                keys[k] = None
-            told.add(x)
-        if len(told) > REMEMBERED:
-            told.clear()
-        yield pa.record_batch([pa.array([docs[k] for k in of.tolist()], pa.string()), pa.array([rows[k] for k in of.tolist()], pa.int64()), pa.array(at.astype(np.int32)), pa.array(hashes), pa.array(lens.astype(np.int32)), pa.array(parity), pa.array(keys, pa.list_(pa.int64()))], names=["doc", "row", "at", "hash", "words", "parity", "keys"])
-
-    for batch in batches:
-        for doc, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-            text = text.as_py()
-            if text is None:
-                continue
-            it = (m.group() for m in WORD_OR_END.finditer(text.lower().encode() + b"\n"))
-            some = []
-            while block := list(islice(it, HELD)):
-                some.append(np.fromiter(map(known.__getitem__, block), np.uint64, len(block)))
-                if len(known) > REMEMBERED:
-                    known.clear()
-                    known[b"\n"] = 0
-            docs.append(doc)
-            rows.append(row)
-            parts.append(np.concatenate(some))
-            held += len(parts[-1])
-            if held > HELD:
-                yield from flush()
-                docs, rows, parts, held = [], [], [], 0
-    if docs:
-        yield from flush()
-
-
-def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
-    """PLACES: each line, the hash of its words, how many they are, the parity of words in 64 cells, and for lines of
-    FUZZY words the keys to join on (null again where a task has told them). One pass without a shuffle."""
-    short_batches(docs.sparkSession)
-    return _rows(docs, id_col, text_col).mapInArrow(functools.partial(_lines, similar=similar), PLACES)
-
-
-@lean
-def _letters(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines as strings of one character for each word (its hash, out of a million), so that an edit distance of such
-    strings counts words."""
-    known = _Hashes()
-    for batch in batches:
-        out = []
-        for text, ends in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-            lines = text.as_py().split("\n")
-            for end in ends:
-                words = WORD.findall(lines[end["at"]].lower().encode())
-                codes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-                out.append((end["hash"], (0x10000 + (codes & np.uint64(0xFFFFF))).astype("<u4").tobytes().decode("utf-32-le")))
-            if len(known) > REMEMBERED:
-                known.clear()
-        yield pa.record_batch([pa.array([h for h, _ in out], pa.int64()), pa.array([x for _, x in out], pa.string())], names=["hash", "norm"])
-
-
-def line_words(docs: DataFrame, kinds: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(hash, norm) of the wanted hashes' lines, read once from where each line first is."""
-    ends = wanted.join(kinds.select("hash", "first"), "hash").groupBy(F.col("first.doc").alias("doc_"), F.col("first.row").alias("row_")).agg(F.collect_list(F.struct(F.col("first.at").alias("at"), "hash")).alias("ends"))
-    rows = _rows(docs, id_col, text_col)
-    # texts are shuffled whatever the number of lines, so that a plan that works on a small table is the one at scale
-    found = rows.join(ends.hint("merge"), rows["doc"].eqNullSafe(ends["doc_"]) & (rows["row"] == ends["row_"])).select("text", "ends")
-    return found.mapInArrow(_letters, "hash bigint, norm string").dropDuplicates(["hash"])  # repeated rows read twice
+def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, row, at, hash, words, norm): each line, the hash of its words, how many they are, and for lines of FUZZY
+    words the words themselves, with a space between two. One pass without a shuffle."""
+    plain = F.regexp_replace(F.lower("text"), BETWEEN, " ")
+    lines = _rows(docs, id_col, text_col).select("doc", "row", F.posexplode(F.split(plain, "\n")).alias("at", "line")).withColumn("norm", F.trim("line"))
+    words = F.when(F.col("norm") == "", 0).otherwise(F.octet_length("norm") - F.octet_length(F.replace("norm", F.lit(" "), F.lit(""))) + 1)
+    named = lines.select("doc", "row", "at", F.xxhash64("norm").alias("hash"), words.alias("words"), "norm")
+    return named.select("doc", "row", "at", "hash", "words", F.when(F.col("words") >= FUZZY, F.col("norm")).alias("norm"))
+
+
+def _hashes(norm: str) -> Column:
+    return F.transform(F.split(norm, " "), lambda w: F.xxhash64(w))
+
+
+def block_keys(lines: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """(hash, key): of each different line (hash, words, norm) a key for each of 2 k + 1 blocks that holds as many words
+    as FULL says, by the level k, the block's number and the total of its words' hashes; k is the level of the line's own
+    edits and that of the longest line that is similar to it. Lines of few blocks with an empty one, and lines of fewer
+    different words than twice their blocks, have words as keys too: the other blocks may be all that two lines don't
+    share. Lines are shuffled once, by hash, and their words not at all."""
+    own, most = level(edits(F.col("words"), similar)), level(edits(F.floor(F.col("words") / similar + 1e-9), similar))
+    once = lines.select("hash", "words", "norm").repartition("hash").dropDuplicates(["hash"])
+    listed = once.select("hash", _hashes("norm").alias("h"), F.explode(F.array_distinct(F.array(own, most))).alias("k"))
+    blocks = 2 * F.col("k") + 1
+    block = lambda h: F.shiftright(F.shiftrightunsigned(h, 33) * blocks, 31)
+    few = F.when(F.col("k") < FULL[-2][0], F.size(F.array_distinct(F.transform("h", block))) < blocks).otherwise(F.size(F.array_distinct("h")) < 2 * blocks)
+    first = F.when(few, F.slice(F.array_sort(F.array_distinct("h")), 1, F.col("k") + 1)).otherwise(F.array().cast("array<bigint>"))
+    words = listed.select("hash", "k", F.size("h").alias("n"), F.posexplode(F.concat("h", first)).alias("at", "h"))
+    # words that are keys are blocks of their own, with negative numbers
+    number = F.when(F.col("at") < F.col("n"), block(F.col("h"))).otherwise(-1 - F.shiftrightunsigned("h", 1))
+    full = F.lit(FULL[-1][1])
+    for least, held in reversed(FULL[:-1]):
+        full = F.when(F.col("k") >= least, held).otherwise(full)
+    # a sum of whole hashes could overflow, and words met twice are lost from an exclusive or
+    sums = [F.bit_xor("h").alias("odd"), F.sum(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF))).alias("total"), F.count("*").alias("held")]
+    totals = words.select("hash", "k", number.alias("block"), "h").groupBy("hash", "k", "block").agg(*sums)
+    return totals.where((F.col("block") < 0) | (F.col("held") >= full)).select("hash", F.xxhash64("k", F.greatest("block", F.lit(-1).cast("bigint")), "odd", "total").alias("key"))
+
+
+def crowded(keys: DataFrame) -> DataFrame:
+    """(key, hash, lines): the rows of keys that several lines have, and how many these are."""
+    dealt = keys.repartition("key")
+    several = dealt.groupBy("key").agg(F.count("*").alias("lines")).where("lines > 1")
+    return dealt.join(several.hint("shuffle_hash"), "key").select("key", "hash", "lines")
+
+
+def line_words(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(hash, words, parity0.., letters) of the wanted hashes' lines: the parity of words in cells, and the line as a
+    string of one character for each word (its hash, out of a million), so that an edit distance of such strings counts
+    words."""
+    found = lines.select("hash", "words", "norm").join(wanted, "hash", "left_semi").dropDuplicates(["hash"]).select("hash", "words", _hashes("norm").alias("h"))
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(x, 2).bitwiseAND(F.lit(63)).cast("int"))
+    parity = lambda j: F.aggregate("h", F.lit(0).cast("bigint"), lambda p, x: F.when(F.pmod(x, F.lit(PARITIES)) == j, p.bitwiseXOR(bit(x))).otherwise(p))
+    cells = [parity(j).alias(f"parity{j}") for j in range(PARITIES)]
+    code = F.array_join(F.transform("h", lambda x: F.lpad(F.hex(F.shiftrightunsigned(x, 8).bitwiseAND(F.lit(0xFFFFF)) + 0x10000), 8, "0")), "")
+    return found.select("hash", "words", *cells, F.decode(F.unhex(code), "UTF-32").alias("letters"))
+
+
+FACTS = ["words", *[f"parity{j}" for j in range(PARITIES)]]
 
 
 def _may_link(similar: float, a: str = "_a", b: str = "_b") -> Column:
     """Whether two lines' numbers of words and parities let them be similar."""
     words = [F.col(f"words{x}") for x in (a, b)]
     most = edits(F.greatest(*words), similar)
-    return (F.abs(words[0] - words[1]) <= most) & (F.bit_count(F.col(f"parity{a}").bitwiseXOR(F.col(f"parity{b}"))) <= 2 * most)
-
-
-def crowded(table: DataFrame, kinds: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """(key, hash, words, parity, nth, star): the different lines of keys that several have, numbered. star is the first
-    line of the key or the one before, if it may be similar."""
-    order = Window.partitionBy("key").orderBy("hash")
-    # a line comes once from each task that has it; one shuffle by key serves the grouping and the window
-    once = table.where("keys is not null").select("hash", F.explode("keys").alias("key")).repartition("key").groupBy("key", "hash").agg(F.lit(1))
-    rows = once.select("key", "hash", F.lag("hash").over(order).alias("before"), F.lead("hash").over(order).alias("after"))
-    facts = rows.where("before is not null or after is not null").select("key", "hash").join(kinds.select("hash", "words", "parity"), "hash")
-    line = F.struct("hash", "words", "parity")
-    near = facts.select("key", "hash", "words", "parity", F.row_number().over(order).alias("nth"), F.first(line).over(order).alias("one"), F.lag(line).over(order).alias("before"))
-    flat = near.select("key", "hash", "words", "parity", "nth", *[F.col(f"{x}.{c}").alias(f"{c}_{x}") for x in ("one", "before") for c in ("hash", "words", "parity")])
-    star = [F.when((F.col(f"hash_{x}") != F.col("hash")) & _may_link(similar, "", f"_{x}"), F.col(f"hash_{x}")) for x in ("one", "before")]
-    return flat.select("key", "hash", "words", "parity", "nth", F.coalesce(*star).alias("star"))
+    odd = sum((F.bit_count(F.col(f"parity{j}{a}").bitwiseXOR(F.col(f"parity{j}{b}"))) for j in range(PARITIES)), F.lit(0))
+    return (F.abs(words[0] - words[1]) <= most) & (odd <= 2 * most)
 
 
 def _sided(df: DataFrame, side: str, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*keep, *[F.col(c).alias(f"{c}_{side}") for c in df.columns if c not in keep])
 
 
-def near_pairs(keys: DataFrame, label: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """(a, b): all pairs of lines that share a key and may be similar, but those of one group of label (node, component).
+def star_pairs(keys: DataFrame) -> DataFrame:
+    """(a, b): each line of a key with the line of it that has most company in all its keys, and with PIVOTS more."""
+    company = keys.groupBy("hash").agg(F.sum("lines").alias("company"))
+    pivots = [F.max_by("hash", "company"), *[F.max_by("hash", F.xxhash64("hash", F.lit(k))) for k in range(PIVOTS)]]
+    stars = keys.join(company, "hash").groupBy("key").agg(F.array_distinct(F.array(*pivots)).alias("pivots"))
+    met = keys.join(stars, "key").select("hash", F.explode("pivots").alias("pivot")).where("hash <> pivot")
+    return met.select(F.least("hash", "pivot").alias("a"), F.greatest("hash", "pivot").alias("b")).distinct()
+
+
+def near_pairs(keys: DataFrame, facts: DataFrame, label: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """(a, b, group_a, group_b): all pairs of lines that share a key and may be similar, but those of one group of label
+    (node, component).
 
     The lines of a key meet in cells of two parts of at most PART lines, so a key of many lines is spread over tasks.
     """
-    large = keys.groupBy("key").agg(F.ceil(F.count("*") / PART).alias("parts")).where("parts > 1")
-    parts = F.coalesce("parts", F.lit(1).cast("bigint"))
-    named = keys.join(label.withColumnRenamed("node", "hash"), "hash", "left").join(large, "key", "left")
-    dealt = named.select("key", "hash", "words", "parity", F.coalesce("component", "hash").alias("group"), parts.alias("parts"), F.pmod("nth", parts).alias("part"))
+    named = keys.join(label.withColumnRenamed("node", "hash"), "hash", "left").select("key", "hash", F.coalesce("component", "hash").alias("group"))
+    several = named.groupBy("key").agg(F.count("*").alias("lines"), F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key", F.ceil(F.col("lines") / PART).alias("parts"))
+    dealt = named.join(several, "key").join(facts.select("hash", *FACTS), "hash").withColumn("part", F.pmod(F.xxhash64("hash"), "parts"))
     cell = lambda k: F.least(k, F.col("part")) * F.col("parts") + F.greatest(k, F.col("part"))
-    cells = dealt.select("key", "hash", "words", "parity", "group", "part", F.explode(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1), cell)).alias("cell"), (F.col("part") * F.col("parts") + F.col("part")).alias("own"))
+    cells = dealt.select("key", "hash", *FACTS, "group", "part", F.explode(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1), cell)).alias("cell"), (F.col("part") * F.col("parts") + F.col("part")).alias("own"))
     both = _sided(cells, "a", ("key", "cell")).join(_sided(cells, "b", ("key", "cell")), ["key", "cell"])
     once = (F.col("part_a") != F.col("part_b")) | (F.col("cell") == F.col("own_a"))  # lines of one part meet in its own cell
-    return both.where((F.col("hash_a") < F.col("hash_b")) & (F.col("group_a") != F.col("group_b")) & once & _may_link(similar)).select(F.col("hash_a").alias("a"), F.col("hash_b").alias("b")).distinct()
+    met = both.where((F.col("hash_a") < F.col("hash_b")) & (F.col("group_a") != F.col("group_b")) & once & _may_link(similar))
+    return met.select(F.col("hash_a").alias("a"), F.col("hash_b").alias("b"), "group_a", "group_b").distinct()
 
 
 def within_edits(x: Column, y: Column, similar: float) -> Column:
@@ -259,39 +176,47 @@ def within_edits(x: Column, y: Column, similar: float) -> Column:
     return (F.abs(nx - ny) <= most) & (F.call_function("levenshtein", x, y, most) >= 0)
 
 
+def possible(pairs: DataFrame, norms: DataFrame, similar: float) -> DataFrame:
+    """The pairs whose lines may be similar, by numbers of words and parities; no line travels for them."""
+    x, y = (_sided(norms.select(F.col("hash").alias(s), *FACTS), s, (s,)) for s in ("a", "b"))
+    return pairs.join(x, "a").join(y, "b").where(_may_link(similar)).select("a", "b")
+
+
 def linked(pairs: DataFrame, norms: DataFrame, similar: float) -> DataFrame:
     """The pairs whose lines are similar."""
-    x, y = (norms.select(F.col("hash").alias(h), F.col("norm").alias(n)) for h, n in (("a", "x"), ("b", "y")))
-    return pairs.join(x, "a").join(y, "b").where(within_edits(F.col("x"), F.col("y"), similar)).select("a", "b")
+    x, y = (norms.select(F.col("hash").alias(s), F.col("letters").alias(f"letters_{s}")) for s in ("a", "b"))
+    return pairs.join(x, "a").join(y, "b").where(within_edits(F.col("letters_a"), F.col("letters_b"), similar)).select(*pairs.columns)
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
     """(doc, row, gone): the positions of each document's lines that go, because their group's first line stays. A written
     table; those on the way to it are deleted."""
     spark = docs.sparkSession
-    table = materialise(line_table(docs, id_col, text_col, similar), "line-places").where(F.col("words") >= LEAST)
-    place = F.struct("doc", "row", "at")
-    kinds = materialise(table.groupBy("hash").agg(F.min(place).alias("first"), F.min("words").alias("words"), F.count("*").alias("times"), F.min("parity").alias("parity")), "line-kinds")
+    table = materialise(line_table(docs, id_col, text_col).where(F.col("words") >= LEAST), "line-places")
+    fuzzy = table.where("norm is not null")
+    told = materialise(block_keys(fuzzy, similar), "line-blocks")
     release(spark)
-    keys = materialise(crowded(table.select("hash", "keys"), kinds, similar), "line-keys")
-    # the table's keys are most of it and have served
+    keys = materialise(crowded(told), "line-keys")
+    release(spark, told)
+    norms = materialise(line_words(fuzzy, keys.select("hash").distinct()), "line-words")
+    # the words are most of the table and have served
     places = materialise(table.select("doc", "row", "at", "hash"), "line-places")
     release(spark, table)
-    stars = materialise(keys.where("star is not null").groupBy(F.col("hash").alias("b")).agg(F.min("star").alias("a")).select("a", "b"), "line-stars")
-    ends = lambda pairs: pairs.select(F.col("a").alias("hash")).union(pairs.select(F.col("b").alias("hash")))
-    in_stars = materialise(ends(stars).distinct(), "line-stars")
-    # pairs with a line that has no star; those of two lines with one follow when the stars are verified
-    lonely = materialise(near_pairs(keys, in_stars.select(F.col("hash").alias("node"), F.lit(0).cast("bigint").alias("component")), similar), "line-pairs")
+    tried = materialise(possible(star_pairs(keys), norms, similar), "line-pairs")
     release(spark)
-    norms = materialise(line_words(docs, kinds, in_stars.union(ends(lonely)).distinct(), id_col, text_col), "line-words")
+    stars = materialise(linked(tried, norms, similar), "line-links")
+    release(spark, tried)
+    near = components(stars)
+    tried = materialise(near_pairs(keys, norms, near, similar), "line-pairs")
     release(spark)
-    links = materialise(linked(stars, norms, similar), "line-links")
-    near = components(links)
-    others = materialise(near_pairs(keys.join(in_stars, "hash", "left_semi"), near, similar), "line-pairs")
-    release(spark, keys, near, stars, in_stars)
-    more = materialise(linked(lonely.union(others), norms, similar), "line-links")
-    release(spark, lonely, others, norms)
-    label = components(links.union(more)).withColumnRenamed("node", "hash")
+    others = linked(tried, norms, similar)
+    more = materialise(others.select(F.least("group_a", "group_b").alias("a"), F.greatest("group_a", "group_b").alias("b")).distinct(), "line-links")
+    release(spark, keys, norms, tried, stars)
+    far = components(more).select(F.col("node").alias("component"), F.col("component").alias("further"))
+    # groups that later links join take the name of their joint group
+    label = materialise(near.join(far, "component", "full").select(F.coalesce("node", "component").alias("hash"), F.coalesce("further", "component").alias("component")), "labels")
+    place = F.struct("doc", "row", "at")
+    kinds = materialise(places.groupBy("hash").agg(F.min(place).alias("first"), F.count("*").alias("times")), "line-kinds")
     grouped = kinds.join(label, "hash", "left").where("times > 1 or component is not null").withColumn("group", F.coalesce("component", "hash"))
     owner = grouped.groupBy("group").agg(F.min("first").alias("owner"))
     owned = materialise(grouped.select("hash", "times", "group").join(owner, "group").select("hash", "times", "owner"), "line-owners")
@@ -301,7 +226,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rest = places.join(heavy.select("hash"), "hash", "left_anti").join(owned.where(~often).select("hash", "owner"), "hash")
     gone = places.join(heavy, "hash").unionByName(rest).where(~place.eqNullSafe(F.col("owner")))
     out = materialise(gone.groupBy("doc", "row").agg(F.collect_set("at").alias("gone")), "line-gone")
-    release(spark, places, kinds, links, more, label, owned)
+    release(spark, places, kinds, more, near, label, owned)
     return out
 
 

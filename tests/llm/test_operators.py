@@ -12,6 +12,7 @@ import public_tokenizers as P
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lexispark.llm import _chunks, bpe, contamination, licenses, linededup, lm, neardup, pii, token_counts, topk, toxicity
 from lexispark.llm._graph import components
@@ -487,25 +488,81 @@ def test_line_keys_hold_every_pair_at_the_limit(spark, monkeypatch, part):
     assert first_lines(spark, texts) == {group.index(g) for g in set(group)}
 
 
-def test_levels_are_at_most_two():
-    n = np.arange(9, 3000)
-    own, most = linededup.level(linededup.edits_of(n, 0.9)), linededup.level(linededup.edits_of(np.floor(n / 0.9 + 1e-9), 0.9))
-    of = dict(zip(n.tolist(), own.tolist(), strict=True))
+def test_levels_are_at_most_two(spark):
+    n = spark.range(9, 3000).select(F.col("id").cast("int").alias("n"))
+    own, most = linededup.level(linededup.edits(F.col("n"), 0.9)), linededup.level(linededup.edits(F.floor(F.col("n") / 0.9 + 1e-9), 0.9))
+    rows = n.select("n", own.alias("own"), most.alias("most")).collect()
+    of = {r.n: r.own for r in rows}
     edits = lambda n: max(1, int(0.1 * n + 1e-9))
-    for x, a, b in list(zip(n.tolist(), own.tolist(), most.tolist(), strict=True))[:-400]:
+    for x, a, b in [tuple(r) for r in rows][:-400]:
         assert {of[m] for m in range(x, x + x // 8 + 3) if m - edits(m) <= x} <= {a, b}, x
 
 
-def test_pairs_at_the_limit_share_a_key():
-    rng = np.random.default_rng(4)
-    for n, least in ((10, 1.0), (25, 1.0), (39, 1.0), (49, 0.999), (89, 0.999), (250, 0.999)):
-        x = rng.integers(1, 1 << 64, (2000, n), dtype=np.uint64)
-        y = x.copy()
-        for row in y:
-            row[rng.choice(n, max(1, n // 10), replace=False)] = rng.integers(1, 1 << 64, max(1, n // 10), dtype=np.uint64)
-        (hx, px, kx), (hy, py, ky) = (linededup.describe(z.ravel(), np.full(len(z), n), 0.9) for z in (x, y))
-        assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in zip(kx, ky, strict=True)]) >= least
-        assert all(bin(a & (1 << 64) - 1).count("1") <= 2 * max(1, n // 10) for a in (px ^ py).tolist()) and not (hx == hy).any()
+def test_pairs_at_the_limit_share_a_key(spark):
+    rng, least = random.Random(4), {10: 1.0, 25: 1.0, 39: 1.0, 49: 0.999, 89: 0.999, 250: 0.999}
+    pairs, word = [], lambda: f"{rng.getrandbits(60):x}"
+    for n in least:
+        for _ in range(2000):
+            x = [word() for _ in range(n)]
+            y = list(x)
+            for at in rng.sample(range(n), max(1, n // 10)):
+                y[at] = word()
+            pairs.append((len(pairs), n, " ".join(x), " ".join(y)))
+    table = spark.createDataFrame(pairs, "pair int, n int, x string, y string")
+    sides = [table.select("pair", "n", F.xxhash64(c).alias("hash"), F.col("n").alias("words"), F.col(c).alias("norm")) for c in "xy"]
+    (x, y), lines = sides, sides[0].unionByName(sides[1])
+    keys = linededup.block_keys(lines).persist()
+    shared = x.join(keys, "hash").select("pair", "key").intersect(y.join(keys, "hash").select("pair", "key")).select("pair").distinct()
+    got = {r.n: r["count"] for r in table.join(shared, "pair").groupBy("n").count().collect()}
+    assert all(got[n] >= 2000 * share for n, share in least.items()), got
+    facts = linededup.line_words(lines, lines.select("hash"))
+    a, b = (facts.select(F.col("hash").alias(f"hash_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in linededup.FACTS]) for s in "ab")
+    near = table.select(F.xxhash64("x").alias("hash_a"), F.xxhash64("y").alias("hash_b")).join(a, "hash_a").join(b, "hash_b")
+    assert near.where(linededup._may_link(0.9)).count() == len(pairs)
+
+
+def test_line_dedup_runs_no_python_on_executors(spark, tmp_path):
+    docs = table(spark, [(1, "a line of words that is here twice in all of this"), (2, "a line of words that is here twice in all of that")])
+    before = linededup.materialise
+    plans = []
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return before(df, name)
+
+    linededup.materialise = seen
+    try:
+        out = linededup.dedup_lines(docs)
+    finally:
+        linededup.materialise = before
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert sorted(r.text for r in out.collect()) == ["", docs.first().text]
+    assert not [p for p in plans if re.search("Arrow|Python|Pandas", p)]
+
+
+def test_line_dedup_tells_links_of_a_group_a_few_times(spark, monkeypatch):
+    """Of 400 lines that nearly all link with each other, links as many as lines are found, not as many as pairs."""
+    rng, base = random.Random(3), [f"b{k}" for k in range(60)]
+    texts = []
+    for k in range(400):
+        line = list(base)
+        line[rng.randrange(60)], line[rng.randrange(60)] = f"x{k}", f"y{k}"
+        texts.append(" ".join(line))
+    links, before = [], linededup.components
+    monkeypatch.setattr(linededup, "components", lambda df: links.append(df.count()) or before(df))
+    assert len(first_lines(spark, texts)) == 1
+    assert sum(links) < 20 * len(texts) < len(texts) ** 2 // 4
+
+
+def test_components_tell_links_anew(spark, monkeypatch):
+    """Rounds read a few times the links, also of a long chain and of a group of many links."""
+    from lexispark.llm import _graph
+
+    links, told, before = [(k, k + 1) for k in range(600)] + [(k, j) for k in range(1000, 1060) for j in range(1000, k)], [], _graph.materialise
+    monkeypatch.setattr(_graph, "materialise", lambda df, name: (out := before(df, name), name == "links" and told.append(out.count()))[0])
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {k: 0 for k in range(601)} | {k: 1000 for k in range(1000, 1060)}
+    assert sum(told) < 6 * len(links)
 
 
 # --- 10
