@@ -112,7 +112,8 @@ def block_keys(lines: DataFrame, similar: float = SIMILAR) -> DataFrame:
 def crowded(keys: DataFrame) -> DataFrame:
     """(key, hash, lines): the rows of keys that several lines have, and how many these are."""
     dealt = keys.repartition("key")
-    several = dealt.groupBy("key").agg(F.count("*").alias("lines")).where("lines > 1")
+    # by hash, so that both sides of the join read the same columns, and so one shuffle
+    several = dealt.groupBy("key").agg(F.count("hash").alias("lines"), F.min("hash").alias("low"), F.max("hash").alias("high")).where("low < high").select("key", "lines")
     return dealt.join(several.hint("shuffle_hash"), "key").select("key", "hash", "lines")
 
 

@@ -540,6 +540,15 @@ def test_line_dedup_runs_no_python_on_executors(spark, tmp_path):
     assert not [p for p in plans if re.search("Arrow|Python|Pandas", p)]
 
 
+def test_keys_are_shuffled_once(spark, tmp_path):
+    spark.range(1000).select(F.col("id").alias("hash"), (F.col("id") % 600).alias("key")).write.parquet(f"{tmp_path}/keys")
+    out = linededup.crowded(spark.read.parquet(f"{tmp_path}/keys"))
+    assert {r.key: r.lines for r in out.collect()} == dict.fromkeys(range(400), 2) and out.count() == 800
+    plan = out._jdf.queryExecution().executedPlan()
+    out._jdf.collectAsList()
+    assert "ReusedExchange" in plan.toString().split("== Initial Plan ==")[0]
+
+
 def test_line_dedup_tells_links_of_a_group_a_few_times(spark, monkeypatch):
     """Of 400 lines that nearly all link with each other, links as many as lines are found, not as many as pairs."""
     rng, base = random.Random(3), [f"b{k}" for k in range(60)]
