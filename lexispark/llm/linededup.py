@@ -11,16 +11,19 @@ once in 10,000; in pairs below the limit, less).
 
 Groups are wanted, not pairs. So each line of a key is first compared with a few lines of the key only, as many pairs as
 lines; the groups that these links make are contracted, and all pairs of a key's lines that are still in different groups
-follow, whose links are told once for two groups. Candidates whose parities of words in 256 cells differ in more than two
-cells an edit are further apart than the limit and go at once; the others are verified by edit similarity.
+follow. These are verified where they meet, so that not pairs but links are told, once for two groups. Candidates whose
+parities of words in 256 cells differ in more than two cells an edit are further apart than the limit and go at once; the
+others are verified by edit similarity.
 
 All of it is DataFrame functions. Blocks are totals over exploded words, where a shuffle by line has already put a line's
-words, so that these are never shuffled as rows.
+words, so that these are never shuffled as rows. Shuffles of all lines and of all keys go in slices by hash and key, one
+after the other, so that a slice of them is on disk at a time.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +47,8 @@ PARITIES = 4
 BROADCAST = 32 << 20
 #: Lines of a part of a key; of a larger key each two parts are compared in a cell of their own.
 PART = 1024
+#: Slices of a shuffle of all lines or keys, of which one at a time is on disk.
+SLICES = 2
 #: Lines that have more than one in HEAVY of all places (fewer than HEAVY lines, so) are joined by broadcast.
 HEAVY = 4096
 
@@ -137,7 +142,8 @@ def _may_link(similar: float, a: str = "_a", b: str = "_b") -> Column:
     words = [F.col(f"words{x}") for x in (a, b)]
     most = edits(F.greatest(*words), similar)
     odd = sum((F.bit_count(F.col(f"parity{j}{a}").bitwiseXOR(F.col(f"parity{j}{b}"))) for j in range(PARITIES)), F.lit(0))
-    return (F.abs(words[0] - words[1]) <= most) & (odd <= 2 * most)
+    apart = F.abs(words[0] - words[1])  # so many edits at least add or take a word, and change one cell, not two
+    return (apart <= most) & (odd + apart <= 2 * most)
 
 
 def _sided(df: DataFrame, side: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -153,28 +159,28 @@ def star_pairs(keys: DataFrame) -> DataFrame:
     return met.select(F.least("hash", "pivot").alias("a"), F.greatest("hash", "pivot").alias("b")).distinct()
 
 
-def near_pairs(keys: DataFrame, facts: DataFrame, label: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """(a, b, group_a, group_b): all pairs of lines that share a key and may be similar, but those of one group of label
-    (node, component).
+def within_edits(x: Column, y: Column, similar: float) -> Column:
+    """Whether the edit similarity reaches the limit; the distance is only followed up to it."""
+    nx, ny = F.char_length(x), F.char_length(y)
+    most = edits(F.greatest(nx, ny), similar)
+    return (F.abs(nx - ny) <= most) & (F.call_function("levenshtein", x, y, most) >= 0)
+
+
+def group_links(keys: DataFrame, norms: DataFrame, label: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """(a, b): the groups of label (node, component), a line without one being its own, that have similar lines sharing
+    a key. All pairs of a key's lines in different groups are compared, where they meet.
 
     The lines of a key meet in cells of two parts of at most PART lines, so a key of many lines is spread over tasks.
     """
     named = keys.join(label.withColumnRenamed("node", "hash"), "hash", "left").select("key", "hash", F.coalesce("component", "hash").alias("group"))
     several = named.groupBy("key").agg(F.count("*").alias("lines"), F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key", F.ceil(F.col("lines") / PART).alias("parts"))
-    dealt = named.join(several, "key").join(facts.select("hash", *FACTS), "hash").withColumn("part", F.pmod(F.xxhash64("hash"), "parts"))
+    dealt = named.join(several, "key").join(norms.select("hash", *FACTS, "letters"), "hash").withColumn("part", F.pmod(F.xxhash64("hash"), "parts"))
     cell = lambda k: F.least(k, F.col("part")) * F.col("parts") + F.greatest(k, F.col("part"))
-    cells = dealt.select("key", "hash", *FACTS, "group", "part", F.explode(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1), cell)).alias("cell"), (F.col("part") * F.col("parts") + F.col("part")).alias("own"))
+    cells = dealt.select("key", "hash", *FACTS, "letters", "group", "part", F.explode(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1), cell)).alias("cell"), (F.col("part") * F.col("parts") + F.col("part")).alias("own"))
     both = _sided(cells, "a", ("key", "cell")).join(_sided(cells, "b", ("key", "cell")), ["key", "cell"])
     once = (F.col("part_a") != F.col("part_b")) | (F.col("cell") == F.col("own_a"))  # lines of one part meet in its own cell
-    met = both.where((F.col("hash_a") < F.col("hash_b")) & (F.col("group_a") != F.col("group_b")) & once & _may_link(similar))
-    return met.select(F.col("hash_a").alias("a"), F.col("hash_b").alias("b"), "group_a", "group_b").distinct()
-
-
-def within_edits(x: Column, y: Column, similar: float) -> Column:
-    """Whether the edit similarity reaches the limit; the distance is only followed up to it."""
-    nx, ny = F.char_length(x), F.char_length(y)
-    most = edits(F.greatest(nx, ny), similar)
-    return (F.abs(nx - ny) <= most) & (F.call_function("levenshtein", x, y, most) >= 0)
+    met = both.where((F.col("hash_a") < F.col("hash_b")) & (F.col("group_a") != F.col("group_b")) & once & _may_link(similar) & within_edits(F.col("letters_a"), F.col("letters_b"), similar))
+    return met.select(F.least("group_a", "group_b").alias("a"), F.greatest("group_a", "group_b").alias("b")).distinct()
 
 
 def possible(pairs: DataFrame, norms: DataFrame, similar: float) -> DataFrame:
@@ -189,17 +195,28 @@ def linked(pairs: DataFrame, norms: DataFrame, similar: float) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").where(within_edits(F.col("letters_a"), F.col("letters_b"), similar)).select(*pairs.columns)
 
 
+def _sliced(df: DataFrame, column: str, make: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """make of df, for which rows of equal values of the column are enough, as written tables of SLICES of the values."""
+    out = []
+    for k in range(SLICES):
+        out.append(materialise(make(df.where(F.pmod(F.xxhash64(column), F.lit(SLICES)) == k)), name))
+        release(df.sparkSession)
+    folders = sorted({f.rsplit("/", 1)[0] for part in out for f in part.inputFiles()})
+    return df.sparkSession.read.schema(out[0].schema).parquet(*folders) if folders else out[0]
+
+
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
     """(doc, row, gone): the positions of each document's lines that go, because their group's first line stays. A written
     table; those on the way to it are deleted."""
     spark = docs.sparkSession
     table = materialise(line_table(docs, id_col, text_col).where(F.col("words") >= LEAST), "line-places")
     fuzzy = table.where("norm is not null")
-    told = materialise(block_keys(fuzzy, similar), "line-blocks")
-    release(spark)
-    keys = materialise(crowded(told), "line-keys")
+    told = _sliced(fuzzy, "hash", lambda some: block_keys(some, similar), "line-blocks")
+    keys = _sliced(told, "key", crowded, "line-keys")
     release(spark, told)
-    norms = materialise(line_words(fuzzy, keys.select("hash").distinct()), "line-words")
+    wanted = materialise(keys.select("hash").distinct(), "line-wanted")
+    norms = _sliced(fuzzy, "hash", lambda some: line_words(some, wanted), "line-words")
+    release(spark, wanted)
     # the words are most of the table and have served
     places = materialise(table.select("doc", "row", "at", "hash"), "line-places")
     release(spark, table)
@@ -208,11 +225,8 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     stars = materialise(linked(tried, norms, similar), "line-links")
     release(spark, tried)
     near = components(stars)
-    tried = materialise(near_pairs(keys, norms, near, similar), "line-pairs")
-    release(spark)
-    others = linked(tried, norms, similar)
-    more = materialise(others.select(F.least("group_a", "group_b").alias("a"), F.greatest("group_a", "group_b").alias("b")).distinct(), "line-links")
-    release(spark, keys, norms, tried, stars)
+    more = materialise(group_links(keys, norms, near, similar), "line-links")
+    release(spark, keys, norms, stars)
     far = components(more).select(F.col("node").alias("component"), F.col("component").alias("further"))
     # groups that later links join take the name of their joint group
     label = materialise(near.join(far, "component", "full").select(F.coalesce("node", "component").alias("hash"), F.coalesce("further", "component").alias("component")), "labels")

@@ -563,6 +563,22 @@ def test_line_dedup_tells_links_of_a_group_a_few_times(spark, monkeypatch):
     assert sum(links) < 20 * len(texts) < len(texts) ** 2 // 4
 
 
+def test_line_dedup_tells_no_pairs_of_unlike_lines(spark, monkeypatch):
+    """Of 200 lines of the same words in other orders, which share all keys and no links, pairs as many as lines are
+    written; lines and keys go in slices, each but a part of them."""
+    rng, texts = random.Random(6), []
+    for _ in range(200):
+        line = [f"b{k}" for k in range(40)]
+        rng.shuffle(line)
+        texts.append(" ".join(line))
+    told, before = {}, linededup.materialise
+    monkeypatch.setattr(linededup, "materialise", lambda df, name: (out := before(df, name), told.setdefault(name, []).append(out.count()))[0])
+    assert len(first_lines(spark, texts)) == len(texts)
+    assert sum(told["line-pairs"]) + sum(told["line-links"]) < 5 * len(texts)
+    for name in ("line-blocks", "line-keys", "line-words"):
+        assert len(told[name]) == linededup.SLICES and max(told[name]) < 0.75 * sum(told[name]), (name, told)
+
+
 def test_components_tell_links_anew(spark, monkeypatch):
     """Rounds read a few times the links, also of a long chain and of a group of many links."""
     from lexispark.llm import _graph
