@@ -49,6 +49,8 @@ BROADCAST = 32 << 20
 PART = 1024
 #: Slices of a shuffle of all lines or keys, of which one at a time is on disk.
 SLICES = 2
+#: Slices of the cells where lines of different groups meet, as lines travel there with their letters, once a key.
+CELL_SLICES = 4
 #: Lines that have more than one in HEAVY of all places (fewer than HEAVY lines, so) are joined by broadcast.
 HEAVY = 4096
 
@@ -195,11 +197,11 @@ def linked(pairs: DataFrame, norms: DataFrame, similar: float) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").where(within_edits(F.col("letters_a"), F.col("letters_b"), similar)).select(*pairs.columns)
 
 
-def _sliced(df: DataFrame, column: str, make: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
-    """make of df, for which rows of equal values of the column are enough, as written tables of SLICES of the values."""
+def _sliced(df: DataFrame, column: str, make: Callable[[DataFrame], DataFrame], name: str, slices: int = SLICES) -> DataFrame:
+    """make of df, for which rows of equal values of the column are enough, as written tables of slices of the values."""
     out = []
-    for k in range(SLICES):
-        out.append(materialise(make(df.where(F.pmod(F.xxhash64(column), F.lit(SLICES)) == k)), name))
+    for k in range(slices):
+        out.append(materialise(make(df.where(F.pmod(F.xxhash64(column), F.lit(slices)) == k)), name))
         release(df.sparkSession)
     folders = sorted({f.rsplit("/", 1)[0] for part in out for f in part.inputFiles()})
     return df.sparkSession.read.schema(out[0].schema).parquet(*folders) if folders else out[0]
@@ -225,7 +227,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     stars = materialise(linked(tried, norms, similar), "line-links")
     release(spark, tried)
     near = components(stars)
-    more = materialise(group_links(keys, norms, near, similar), "line-links")
+    more = _sliced(keys, "key", lambda some: group_links(some, norms, near, similar), "line-links", CELL_SLICES)
     release(spark, keys, norms, stars)
     far = components(more).select(F.col("node").alias("component"), F.col("component").alias("further"))
     # groups that later links join take the name of their joint group
