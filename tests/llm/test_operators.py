@@ -360,6 +360,48 @@ def test_near_duplicates_finds_partners_on_a_shared_template(spark, monkeypatch)
     assert {r.doc_id: r.component_id for r in got} == {k: k - k % 2 for k in range(160)}
 
 
+def test_near_duplicates_tells_no_pairs_of_unlinked_texts(spark, monkeypatch):
+    """Of 300 texts on a template that undecidedly aren't linked, and a group of 100 near copies, what is written and
+    what the operator's functions tell grows with the texts and not with their pairs; a link that only the cells find is found."""
+    rng, common = random.Random(7), [f"c{k}" for k in range(570)]
+    docs = [(k, " ".join(common + [f"o{k}x{i}" for i in range(100)])) for k in range(300)]
+    docs += [(300, " ".join(common + [f"o70x{i}" for i in range(20)] + [f"o300x{i}" for i in range(80)]))]
+    for k in range(100):
+        words = [f"n{i}" for i in range(400)]
+        for _ in range(20):
+            words[rng.randrange(400)] = f"e{k}x{rng.randrange(10**6)}"
+        docs.append((1000 + k, " ".join(words)))
+    told, compared, before, verify = {}, [], neardup.materialise, neardup.linked
+    monkeypatch.setattr(neardup, "PART", 48)
+    monkeypatch.setattr(neardup, "materialise", lambda df, name: (out := before(df, name), told.setdefault(name, []).append(out.count()))[0])
+    monkeypatch.setattr(neardup, "linked", lambda pairs, *rest: compared.append(pairs.count()) or verify(pairs, *rest))
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(table(spark, docs), size=1).collect()}
+    assert got == {k: k for k in range(300)} | {300: 70} | {1000 + k: 1000 for k in range(100)}
+    assert sum(told["pairs"]) + sum(told["links"]) < 100 * len(docs) and sum(compared) < 100 * len(docs)
+
+
+def test_links_between_are_a_forest_of_exact_links():
+    rng = np.random.default_rng(5)
+    for _ in range(40):
+        base = rng.choice(10**6, 40, replace=False)
+        sets = [np.unique(np.where(rng.random(40) < rng.choice([0.02, 0.1, 0.3]), rng.integers(0, 10**6, 40), base)).astype(np.uint64) for _ in range(30)]
+        groups = np.array([k - k % 3 if k < 9 else k for k in range(30)])
+        pairs = [(i, j) for i in range(30) for j in range(i) if groups[i] != groups[j] and rng.random() < 0.8]
+        near = [(int(groups[i]), int(groups[j])) for i, j in pairs if 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))]
+        found = neardup.links_between(sets, pairs, groups, 75)
+        joined = lambda links: {frozenset(x) for x in _joined(links)}
+        assert joined(found) == joined(near) and len(found) < 30
+        assert {frozenset(x) for x in found} <= {frozenset(x) for x in near}
+
+
+def _joined(links):
+    parts = []
+    for a, b in links:
+        touched = [p for p in parts if a in p or b in p]
+        parts = [p for p in parts if p not in touched] + [set().union({a, b}, *touched)]
+    return parts
+
+
 def test_posterior_bounds():
     least, sure = neardup.posterior_bounds(128, 0.75, 1e-5)
     assert 60 < least < 96 < sure <= 128
