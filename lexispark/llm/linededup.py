@@ -180,7 +180,8 @@ def group_links(keys: DataFrame, norms: DataFrame, label: DataFrame, similar: fl
     cell = lambda k: F.least(k, F.col("part")) * F.col("parts") + F.greatest(k, F.col("part"))
     cells = dealt.select("key", "hash", *FACTS, "letters", "group", "part", F.explode(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1), cell)).alias("cell"), (F.col("part") * F.col("parts") + F.col("part")).alias("own"))
     both = _sided(cells, "a", ("key", "cell")).join(_sided(cells, "b", ("key", "cell")), ["key", "cell"])
-    once = (F.col("part_a") != F.col("part_b")) | (F.col("cell") == F.col("own_a"))  # lines of one part meet in its own cell
+    # lines of one part meet in its own cell; both sides are asked for the same columns, and so read one shuffle
+    once = (F.col("part_a") != F.col("part_b")) | (F.col("cell") == F.greatest("own_a", "own_b"))
     met = both.where((F.col("hash_a") < F.col("hash_b")) & (F.col("group_a") != F.col("group_b")) & once & _may_link(similar) & within_edits(F.col("letters_a"), F.col("letters_b"), similar))
     return met.select(F.least("group_a", "group_b").alias("a"), F.greatest("group_a", "group_b").alias("b")).distinct()
 
@@ -222,8 +223,11 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # the words are most of the table and have served
     places = materialise(table.select("doc", "row", "at", "hash"), "line-places")
     release(spark, table)
-    tried = materialise(possible(star_pairs(keys), norms, similar), "line-pairs")
+    # in two steps, so that the shuffles of keys are gone when those of pairs begin
+    starred = materialise(star_pairs(keys), "line-stars")
     release(spark)
+    tried = materialise(possible(starred, norms, similar), "line-pairs")
+    release(spark, starred)
     stars = materialise(linked(tried, norms, similar), "line-links")
     release(spark, tried)
     near = components(stars)

@@ -591,6 +591,28 @@ def test_keys_are_shuffled_once(spark, tmp_path):
     assert "ReusedExchange" in plan.toString().split("== Initial Plan ==")[0]
 
 
+def test_cells_of_lines_are_shuffled_once(spark, tmp_path):
+    """Both sides of the join of a key's lines read one shuffle of cells."""
+    line = lambda k: f"b{k} " + " ".join(f"w{i}" for i in range(20))
+    lines = spark.createDataFrame([(k, 21, line(k)) for k in range(40)], "hash long, words int, norm string")
+    linededup.line_words(lines, lines.select("hash")).write.parquet(f"{tmp_path}/norms")
+    spark.range(40).select((F.col("id") % 2).alias("key"), F.col("id").alias("hash")).write.parquet(f"{tmp_path}/keys")
+    key, label = "spark.sql.autoBroadcastJoinThreshold", spark.createDataFrame([(0, 0), (2, 0)], "node long, component long")
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        out = linededup.group_links(spark.read.parquet(f"{tmp_path}/keys"), spark.read.parquet(f"{tmp_path}/norms"), label)
+        df = out._jdf
+        plan = df.queryExecution().executedPlan()
+        df.collectAsList()
+        final = plan.toString().split("== Initial Plan ==")[0]
+        assert len(out.collect()) == 171 + 190  # all pairs of 19 groups, and of 20
+    finally:
+        spark.conf.set(key, before)
+    dealt = [x for x in final.split("\n") if re.search(r"Exchange.*hashpartitioning\(key#\d+L, cell#\d+L,", x)]
+    assert dealt and sum("ReusedExchange" not in x for x in dealt) == 1, dealt
+
+
 def test_line_dedup_tells_links_of_a_group_a_few_times(spark, monkeypatch):
     """Of 400 lines that nearly all link with each other, links as many as lines are found, not as many as pairs."""
     rng, base = random.Random(3), [f"b{k}" for k in range(60)]
