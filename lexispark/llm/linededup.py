@@ -3,9 +3,12 @@
 A SimHash adds up random vectors of a line's words. Here each word's vector lies in one of a line's blocks of coordinates
 (a sparse projection), so that an edit of one word moves at most two blocks, and of 2 k + 1 blocks k edits leave one as it
 was: lines within k edits meet by joining on (block, value). Blocks are only tested for equality, so their totals are
-compared and not the totals' signs, which would only merge values, more and more of them as the table grows. Of lines
-with few blocks, those with an empty one, and of all lines those of few different words, have their first k + 1 distinct words as keys too, so that every pair at the limit
-is a candidate. Lines with many blocks leave out blocks of a word or two, which a common word would crowd: about 16 words
+compared and not the totals' signs, which would only merge values, more and more of them as the table grows. A block of
+no word or one is no key, as lines that share it grow with the table and their pairs with its square. Of few blocks the
+one left as it was may be such a block, but then both lines have one: lines with such a block are dealt to blocks once
+more by other hashes, in up to ROUNDS rounds, and those with one in every round have their first k + 1 distinct words as
+keys too, so that every pair at the limit is a candidate. Lines of many blocks and few different words have these words as
+keys at once. Lines with many blocks leave out blocks of a word or two, which a common word would crowd: about 16 words
 thrown at 17 blocks leave 6 as they were, and all of these are that small once in 100,000 pairs at the limit (of 9 blocks,
 once in 10,000; in pairs below the limit, less).
 
@@ -38,7 +41,9 @@ LEAST, FUZZY = 2, 9
 #: Lines are blocked for each number of edits up to STEPS, then for numbers that grow by GROWTH.
 STEPS, GROWTH = 8, 1.25
 #: Words of a block that is a key: edits that a line is blocked for, from which so many are asked for.
-FULL = ((8, 3), (4, 2), (0, 1))
+FULL = ((8, 3), (0, 2))
+#: Levels below this have pairs at the limit share a key for sure; of so many rounds of blocks at most.
+SURE, ROUNDS = 4, 6
 #: Lines of a key that each of its lines is compared with before groups are contracted, besides the one with most company.
 PIVOTS = 2
 #: Longs of a line's parities, of 64 cells each.
@@ -91,22 +96,42 @@ def _hashes(norm: str) -> Column:
     return F.transform(F.split(norm, " "), lambda w: F.xxhash64(w))
 
 
+def _block(h: Column, k: Column, turn: Column) -> Column:
+    """A word's block of 2 k + 1 in a round."""
+    dealt = F.when(turn == 0, h).otherwise(F.xxhash64(h, turn))
+    return F.shiftright(F.shiftrightunsigned(dealt, 33) * (2 * k + 1), 31).cast("int")
+
+
+def _thin_rounds(h: Column, k: Column) -> Column:
+    """How many rounds, from the first, have a block of fewer than two words, for fewer than 8 blocks; later rounds are
+    not looked at."""
+    bit = lambda x, r: F.call_function("shiftleft", F.lit(1), _block(x, k, r))
+    # a byte of the blocks met and one of those met twice
+    met = lambda r: F.aggregate(h, F.lit(0), lambda m, x: m.bitwiseOR(bit(x, r)).bitwiseOR(F.shiftleft(m.bitwiseAND(bit(x, r)), 8)))
+    whole = F.call_function("shiftleft", F.lit(1), 2 * k + 1) - 1
+    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), F.lit(0), lambda n, r: F.when(n < r, n).when(F.shiftright(met(r), 8) == whole, n).otherwise(n + 1))
+
+
 def block_keys(lines: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """(hash, key): of each different line (hash, words, norm) a key for each of 2 k + 1 blocks that holds as many words
     as FULL says, by the level k, the block's number and the total of its words' hashes; k is the level of the line's own
-    edits and that of the longest line that is similar to it. Lines of few blocks with an empty one, and lines of fewer
-    different words than twice their blocks, have words as keys too: the other blocks may be all that two lines don't
-    share. Lines are shuffled once, by hash, and their words not at all."""
+    edits and that of the longest line that is similar to it. Lines of levels below SURE with a block of fewer than two
+    words have a further round of blocks, up to ROUNDS, and words as keys after the last; so have lines of higher levels
+    with fewer different words than twice their blocks: the other blocks may be all that two lines don't share. Lines are
+    shuffled once, by hash, and their words not at all."""
     own, most = level(edits(F.col("words"), similar)), level(edits(F.floor(F.col("words") / similar + 1e-9), similar))
     once = lines.select("hash", "words", "norm").repartition("hash").dropDuplicates(["hash"])
     listed = once.select("hash", _hashes("norm").alias("h"), F.explode(F.array_distinct(F.array(own, most))).alias("k"))
-    blocks = 2 * F.col("k") + 1
-    block = lambda h: F.shiftright(F.shiftrightunsigned(h, 33) * blocks, 31)
-    few = F.when(F.col("k") < FULL[-2][0], F.size(F.array_distinct(F.transform("h", block))) < blocks).otherwise(F.size(F.array_distinct("h")) < 2 * blocks)
-    first = F.when(few, F.slice(F.array_sort(F.array_distinct("h")), 1, F.col("k") + 1)).otherwise(F.array().cast("array<bigint>"))
-    words = listed.select("hash", "k", F.size("h").alias("n"), F.posexplode(F.concat("h", first)).alias("at", "h"))
-    # words that are keys are blocks of their own, with negative numbers
-    number = F.when(F.col("at") < F.col("n"), block(F.col("h"))).otherwise(-1 - F.shiftrightunsigned("h", 1))
+    few = F.size(F.array_distinct("h")) < 2 * (2 * F.col("k") + 1)
+    thin = F.when(F.col("k") < SURE, _thin_rounds(F.col("h"), F.col("k"))).when(few, ROUNDS).otherwise(0)
+    last = F.when(F.col("k") < SURE, F.least("thin", F.lit(ROUNDS - 1))).otherwise(0)
+    # the words that are keys are a round of their own, -1
+    turns = F.sequence(F.when(F.col("thin") == ROUNDS, -1).otherwise(0), last)
+    dealt = listed.withColumn("thin", thin).select("hash", "k", "h", F.explode(turns).alias("turn"))
+    first = F.slice(F.array_sort(F.array_distinct("h")), 1, F.col("k") + 1)
+    words = dealt.select("hash", "k", "turn", F.explode(F.when(F.col("turn") < 0, first).otherwise(F.col("h"))).alias("h"))
+    # they are blocks of their own, with negative numbers; later rounds have at most 8 blocks
+    number = F.when(F.col("turn") < 0, -1 - F.shiftrightunsigned("h", 1)).otherwise(8 * F.col("turn") + _block(F.col("h"), F.col("k"), F.col("turn")))
     full = F.lit(FULL[-1][1])
     for least, held in reversed(FULL[:-1]):
         full = F.when(F.col("k") >= least, held).otherwise(full)

@@ -563,6 +563,28 @@ def test_pairs_at_the_limit_share_a_key(spark):
     assert near.where(linededup._may_link(0.9)).count() == len(pairs)
 
 
+def test_common_words_are_no_keys_of_unlike_lines(spark):
+    """Of random lines over words of which a few are very common, few pairs share a key, and those at the limit all do."""
+    rng, texts, pairs = random.Random(8), [], []
+    vocabulary = [f"v{k}" for k in range(3000)]
+    weights = [1 / (k + 1) for k in range(3000)]
+    for n in list(range(9, 40)) * 100:
+        x = rng.choices(vocabulary, weights, k=n)
+        y = list(x)
+        for at in rng.sample(range(n), max(1, n // 10)):
+            y[at] = rng.choices(vocabulary, weights)[0]
+        texts.append(" ".join(x))
+        pairs.append((" ".join(x), " ".join(y)))
+    lines = lambda x: spark.createDataFrame([(t, len(t.split())) for t in x], "norm string, words int").select(F.xxhash64("norm").alias("hash"), "words", "norm")
+    keys = linededup.block_keys(lines(texts))
+    met = keys.groupBy("key").count().agg(F.sum(F.expr("count * (count - 1) / 2"))).first()[0]
+    assert met < len(texts), met
+    both = linededup.block_keys(lines({t for p in pairs for t in p})).persist()
+    table = spark.createDataFrame(pairs, "x string, y string").select(F.xxhash64("x").alias("x"), F.xxhash64("y").alias("y")).where("x <> y").distinct()
+    shared = table.join(both.select(F.col("hash").alias("x"), "key"), "x").join(both.select(F.col("hash").alias("y"), "key"), ["y", "key"]).select("x", "y").distinct()
+    assert shared.count() == table.count()
+
+
 def test_line_dedup_runs_no_python_on_executors(spark, tmp_path):
     docs = table(spark, [(1, "a line of words that is here twice in all of this"), (2, "a line of words that is here twice in all of that")])
     before = linededup.materialise
