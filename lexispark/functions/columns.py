@@ -239,7 +239,7 @@ def tail_cer(reference: Column, hypothesis: Column, duration: Column, characters
 
 
 def wer(reference: Column, hypothesis: Column) -> Column:
-    return pair_udf(lambda a, b: similarity.error_rates(a, b)[0], "double")(reference, hypothesis)
+    return pair_udf(similarity.word_error_rate, "double")(reference, hypothesis)
 
 
 def indel_ratio(a: Column, b: Column) -> Column:
