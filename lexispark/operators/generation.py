@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -108,9 +108,13 @@ def fix_terms(tables: dict[str, DataFrame], review: DataFrame, key: str = "term_
 def classify_review(review: DataFrame, terms: DataFrame, key: str = "term_index") -> DataFrame:
     """review (key, proposed) with an action: drop (nothing proposed, or another term has the name), keep (already so),
     skip (no such term) or rename; and the first other owner of the name."""
-    now = terms.select(key, F.col("term").alias("current"))
-    owner = terms.select(F.col("term").alias("proposed"), F.col(key).alias("_o"))
-    rows_ = review.join(now, key, "left").join(owner, "proposed", "left").withColumn("_o", F.when(F.col("_o") != F.col(key), F.col("_o")))
-    one = rows_.groupBy(key, "proposed", "current").agg(F.min("_o").alias("owner"))
+    now = terms.select(key, F.col("term").alias("current")).distinct()
+    rows_ = review.select(key, "proposed").distinct().join(now, key, "left")
+    # of a name's owners the first two are enough, as a term is one of them at most
+    nth = F.dense_rank().over(Window.partitionBy("proposed").orderBy("_o"))
+    named = terms.select(F.col("term").alias("proposed"), F.col(key).alias("_o")).dropna()
+    owners = named.withColumn("_n", nth).where("_n <= 2").groupBy("proposed").agg(F.min("_o").alias("_o"), F.max("_o").alias("_p"))
+    other = F.when(F.col("_o") != F.col(key), F.col("_o")).when(F.col("_p") != F.col(key), F.col("_p"))
+    one = rows_.join(owners, "proposed", "left").select(key, "proposed", "current", other.alias("owner"))
     action = F.when(F.col("current").isNull(), "skip").when(F.coalesce("proposed", F.lit("")) == "", "drop").when(F.col("proposed") == F.col("current"), "keep").when(F.col("owner").isNotNull(), "drop").otherwise("rename")
     return one.withColumn("action", action)

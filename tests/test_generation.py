@@ -42,6 +42,23 @@ def test_reviews(spark):
     assert [r.term_index for r in left.collect()] == [2]
 
 
+def test_reviews_of_a_common_name_make_as_many_rows_as_reviews(spark):
+    """A name of many terms is met once by each review, and its first other owner is told."""
+    terms = spark.range(3000).select(F.col("id").alias("term_index"), F.lit("a").alias("term"))
+    review = terms.withColumnRenamed("term", "proposed").union(spark.createDataFrame([(7, "b")], "term_index long, proposed string"))
+    out = G.classify_review(review, terms.union(spark.createDataFrame([(3000, "b"), (3000, "b"), (None, "b")], "term_index long, term string")))
+    got = {(r.term_index, r.proposed): (r.action, r.owner) for r in out.collect()}
+    assert len(got) == 3001 and got[0, "a"] == ("keep", 1) and got[1, "a"] == ("keep", 0) and got[7, "b"] == ("drop", 3000)
+    joins, todo = [], [out._jdf.queryExecution().executedPlan().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name, children = node.nodeName(), node.children()
+        if "Join" in name:
+            joins.append(node.metrics().apply("numOutputRows").value())
+        todo += [node.plan()] if name.endswith("QueryStage") else [children.apply(k) for k in range(children.length())]
+    assert joins and max(joins) <= 3001, joins
+
+
 def test_prompt_and_responses(spark):
     r = spark.range(1).select(G.prompt([("a", F.lit("x")), ("b", F.lit(None).cast("string")), ("c", F.lit("y"))]).alias("p"), G.response_reason(F.lit("length"), F.lit("x")).alias("l"), G.response_reason(F.lit("stop"), F.lit(" ")).alias("e"), G.response_reason(F.lit("stop"), F.lit("x")).alias("f")).first()
     assert (r.p, r.l, r.e, r.f) == ("<a>x</a>\n<c>y</c>", "truncated", "empty", None)
