@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexispark.functions import columns as C
-from lexispark.operators import cleaning, relational, splitting
+from lexispark.operators import cleaning, relational, rules, splitting
 from lexispark.sources import readers, writers
 from lexispark.streaming import state
 
@@ -130,3 +130,17 @@ def test_split_keeps_groups(spark):
 def test_range_policy_refuses_overlaps(spark):
     with pytest.raises(ValueError):
         relational.range_policy(spark.range(3), "id", [(0, 5, 1), (5, 9, 2)])
+
+
+def test_mining_reads_evidence_and_texts_once(spark, tmp_path):
+    """What mining gives reads no table any more, and labels that are the hypotheses too are counted once."""
+    texts = ["alphab is real text", "gammaz et gammax", "deltay deltay deltay", "epsilo a le soir"]
+    spark.createDataFrame([(x,) for x in texts], "text string").write.parquet(f"{tmp_path}/texts")
+    spark.createDataFrame([("alphab", "alphax", 2, 2), ("gammaq", "gammax", 3, 2), ("deltay", "deltax", 1, 1)], "variant string, target string, count long, clips long").write.parquet(f"{tmp_path}/evidence")
+    words = spark.createDataFrame([], "word string, zipf double")
+    read = lambda name: spark.read.parquet(f"{tmp_path}/{name}")
+    out = rules.mine(read("evidence"), read("texts"), read("texts"), words.select("word"), words)
+    assert {r.key: (r["count"], r.precision, r.reason) for r in out.collect()} == {"alphab": (2, 2.0, "real_text"), "gammaq": (3, 1.0, None), "deltay": (1, 0.333, "real_text")}
+    assert "FileScan" not in out._jdf.queryExecution().toString()
+    other = rules.mine(read("evidence"), read("texts"), read("texts").where("text <> ''"), words.select("word"), words)
+    assert sorted(map(tuple, other.collect())) == sorted(map(tuple, out.collect()))
